@@ -25,7 +25,7 @@ def nfkc(c: Column) -> Column:
 
 def collapse(c: Column) -> Column:
     """Every run of whitespace, Unicode ones included, becomes one blank; no outer blanks."""
-    return F.trim(F.regexp_replace(c, r"(?U)\s+", " "))
+    return F.trim(F.regexp_replace(c, r"(?U)[\s\x1c-\x1f]+", " "))
 
 
 def clean_text(c: Column) -> Column:

@@ -37,7 +37,7 @@ def busiest_hours(star: Star) -> DataFrame:
     hours = views.hourly_demand(star)
     top = F.struct("orders", -F.col("hour_24"))
     most = hours.agg(F.max("orders").alias("m")).scalar()
-    ties = F.array_sort(F.collect_list(F.when(F.col("orders") == most, F.col("hour_label"))))
+    ties = F.sort_array(F.collect_list(F.when(F.col("orders") == most, F.col("hour_label"))))
     in_peak = F.sum(F.when(F.col("day_part").isin(*PEAK_DAY_PARTS), F.col("orders")).otherwise(0))
     return hours.agg(
         F.max_by("hour_label", top).alias("busiest_hour"),

@@ -87,13 +87,17 @@ def retail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def retail_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+def retail_text(
+    spark: SparkSession, sf_dir: str, lines: DataFrame | None = None
+) -> DataFrame:
     """The same lines as twelve raw text columns, with some fields spoilt by key arithmetic.
 
     ``_row`` orders the copies of a line by content; the place in the file makes it unique.
+    ``lines`` may be a stream of ``lineitem``.
     """
+    lines = table(spark, sf_dir, "lineitem") if lines is None else lines
     place = F.struct("_metadata.file_path", "_metadata.row_index")
-    lines = table(spark, sf_dir, "lineitem").withColumn("place", place)
+    lines = lines.withColumn("place", place)
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_type", *[
         c.alias(n) for n, c in _product_columns().items() if n != "item_category"
@@ -124,11 +128,11 @@ def retail_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def counter_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_lines(events: DataFrame) -> DataFrame:
     """Order lines of ``events``, the table with a time of day: one basket per user and day."""
     kind = F.col("event_type")
     day = F.col("ts").cast("date")
-    lines = table(spark, sf_dir, "events").select(
+    return events.select(
         F.col("event_id").alias("item_id"),
         (F.col("user_id") * 100000000 + date_key(day)).alias("order_id"),
         F.concat(kind, F.lit("_m")).alias("item_name_id"),
@@ -141,6 +145,11 @@ def counter_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         kind.alias("item_ingredients"),
         F.concat(F.lit("The "), title_case(kind), F.lit(" Item")).alias("item_name"),
     ).filter("unit_price > 0")
+
+
+def counter_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean order lines of ``events``."""
+    lines = event_lines(table(spark, sf_dir, "events"))
     lines = keep_first(lines, ["item_id"], ["order_id", "item_name_id", "order_ts"])
     lines = keep_first(lines, ["order_id", "item_name_id", "order_ts", "quantity"], ["item_id"])
     return with_amounts(lines)
