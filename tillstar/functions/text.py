@@ -7,12 +7,13 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A cased letter: lower, upper or title case.
 _CASED = r"[\p{IsLowercase}\p{IsUppercase}\p{Lt}]"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _nfkc(values: pd.Series) -> pd.Series:
     return values.map(lambda v: v if v is None else unicodedata.normalize("NFKC", v))
 
