@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstar.functions.money import money
-from tillstar.functions.text import clean_text, title_case
+from tillstar.functions.text import title_case, with_clean_text
 from tillstar.operators import history, profiling, quality, quarantine
 from tillstar.operators.groups import keep_first
 from tillstar.plans import analyst, insights, measures, views
@@ -43,7 +43,16 @@ def _raw(plan: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def _judged(plan: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf_dir: plan(quarantine.judge_lines(src.retail_text(spark, sf_dir)))
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = new_folder(spark, "quarantine")
+        return plan(
+            quarantine.judge_lines(
+                src.retail_text(spark, sf_dir),
+                stage=lambda df, name: warehouse.staged(df, folder, name),
+            )
+        )
+
+    return query
 
 
 # --- cleaning --------------------------------------------------------------------------------
@@ -66,14 +75,15 @@ def _dedup_line_content(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _text_hygiene(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole texts through the text rules; reported by what is left of them."""
-    documents = src.table(spark, sf_dir, "documents").withColumn(
-        "clean", clean_text(F.col("text"))
+    documents = src.table(spark, sf_dir, "documents").select(
+        "doc_id", F.col("text").alias("clean"), "source"
     )
+    documents = with_clean_text(documents, ["clean", "source"])
     return documents.select(
         "doc_id",
         F.length("clean").cast("bigint").alias("clean_chars"),
         F.md5("clean").alias("clean_md5"),
-        title_case(clean_text(F.col("source"))).alias("source_title"),
+        title_case(F.col("source")).alias("source_title"),
     )
 
 
@@ -219,7 +229,7 @@ QUERIES: dict[str, Query] = {
     "q06_delist": _retail(analyst.delist_candidates),
     "q07_levers": _retail(analyst.levers),
     "q08_cross_sell": _retail(analyst.cross_sell),
-    "q08_affinity_matrix": _retail(lambda s: analyst.affinity_matrix(s, "1.02")),
+    "q08_affinity_matrix": _retail(lambda s: analyst.affinity_matrix(s, "0.95")),
     "q09_basket": _retail(analyst.basket_distribution),
     "q10_ingredients": _retail(analyst.top_ingredients),
     "q11_best_worst_days": _retail(analyst.best_and_worst_days),

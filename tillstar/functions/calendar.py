@@ -18,17 +18,8 @@ def is_strict_time(c: Column) -> Column:
 
 
 def timestamp_of(day: Column, time: Column) -> Column:
-    """Zone-free timestamp from a date and ``HH:MM:SS`` text; NULL if either is unusable."""
-    part = F.split(time, ":")
-    return F.when(
-        day.isNotNull() & is_strict_time(time),
-        F.try_make_timestamp_ntz(
-            F.year(day), F.month(day), F.day(day),
-            F.try_element_at(part, F.lit(1)).try_cast("int"),
-            F.try_element_at(part, F.lit(2)).try_cast("int"),
-            F.try_element_at(part, F.lit(3)).try_cast("int"),
-        ),
-    )
+    """Zone-free timestamp from a date and checked ``HH:MM:SS`` text; NULL if either is missing."""
+    return F.concat(day.cast("string"), F.lit(" "), time).try_cast("timestamp_ntz")
 
 
 def date_key(c: Column) -> Column:

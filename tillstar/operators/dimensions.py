@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 from tillstar.functions.calendar import calendar_columns, hour_columns
 from tillstar.functions.money import cents, from_cents
 from tillstar.functions.text import (
-    clean_text,
     contains_any,
     drop_suffix,
     filled_parts,
     title_case,
+    with_clean_text,
 )
 from tillstar.operators.ordered import ONE_TASK_ROWS, number_rows
 from tillstar.schemas import CHEESE_WORDS, MEAT_WORDS, SIZE_LABELS, SIZE_ORDER, TABLES
@@ -109,8 +109,9 @@ def recipe_parts(items: DataFrame) -> DataFrame:
         "item_ingredients",
         F.explode(F.split("item_ingredients", ",")).alias("part"),
     )
-    named = parts.select("part").distinct().withColumn(
-        "ingredient_name", title_case(clean_text(F.col("part")))
+    named = parts.select("part", F.col("part").alias("ingredient_name")).distinct()
+    named = with_clean_text(named, ["ingredient_name"]).withColumn(
+        "ingredient_name", title_case(F.col("ingredient_name"))
     ).filter(F.col("ingredient_name") != "")
     return (
         items.select("item_key", "item_ingredients")

@@ -6,15 +6,18 @@ one expression; the two duplicate rules each add one pass, over rows that are st
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstar.functions.calendar import is_strict_time, strict_date, timestamp_of
 from tillstar.functions.money import amount, differs
-from tillstar.functions.text import clean_text, title_case
+from tillstar.functions.text import title_case, with_clean_text
 from tillstar.operators.groups import HOT_ROWS, keep_first, mark_repeats
 from tillstar.schemas import RAW_COLUMNS, SIZE_ORDER
 
+TEXT_COLUMNS = ["item_name_id", "item_size", "item_category", "item_ingredients", "item_name"]
 LINE_KEY = ["item_id"]
 LINE_CONTENT = ["order_id", "item_name_id", "order_time", "quantity"]
 
@@ -26,7 +29,7 @@ def _number(c: Column) -> Column:
 def whole_number(c: Column) -> Column:
     """A 64-bit integer from text such as ``7`` or ``7.0``; NULL for anything else."""
     n = _number(c)
-    return F.when(n == F.floor(n), n.try_cast("bigint"))
+    return F.coalesce(c.try_cast("bigint"), F.when(n == F.floor(n), n.try_cast("bigint")))
 
 
 def price(c: Column, kind: str = "decimal(10,2)") -> Column:
@@ -35,24 +38,27 @@ def price(c: Column, kind: str = "decimal(10,2)") -> Column:
 
 def parse_lines(raw: DataFrame) -> DataFrame:
     """Typed columns next to the raw text. Text that does not parse becomes NULL, never a guess."""
-    day = strict_date(F.col("order_date"))
-    return raw.withColumns(
-        {
-            "raw": F.struct(*RAW_COLUMNS),
-            "item_name_id": F.lower(clean_text(F.col("item_name_id"))),
-            "item_size": F.upper(clean_text(F.col("item_size"))),
-            "item_category": title_case(clean_text(F.col("item_category"))),
-            "item_ingredients": clean_text(F.col("item_ingredients")),
-            "item_name": clean_text(F.col("item_name")),
-            "item_id": whole_number(F.col("item_id")),
-            "order_id": whole_number(F.col("order_id")),
-            "quantity": whole_number(F.col("quantity")),
-            "unit_price": price(F.col("unit_price")),
-            "total_price": price(F.col("total_price"), "decimal(18,2)"),
-            "order_day": day,
-            "time_ok": is_strict_time(F.col("order_time")),
-            "order_ts": timestamp_of(day, F.col("order_time")),
-        }
+    kept = raw.withColumn("raw", F.struct(*RAW_COLUMNS))
+    return (
+        with_clean_text(kept, TEXT_COLUMNS)
+        .withColumns(
+            {
+                "item_name_id": F.lower("item_name_id"),
+                "item_size": F.upper("item_size"),
+                "item_category": title_case(F.col("item_category")),
+                "item_id": whole_number(F.col("item_id")),
+                "order_id": whole_number(F.col("order_id")),
+                "quantity": whole_number(F.col("quantity")),
+                "unit_price": price(F.col("unit_price")),
+                "total_price": price(F.col("total_price"), "decimal(18,2)"),
+                "order_day": strict_date(F.col("order_date")),
+                "time_ok": is_strict_time(F.col("order_time")),
+            }
+        )
+        .withColumn(
+            "order_ts",
+            F.when(F.col("time_ok"), timestamp_of(F.col("order_day"), F.col("order_time"))),
+        )
     )
 
 
@@ -82,16 +88,33 @@ def duplicate_reasons(noun: str = "item") -> list[tuple[str, list[str]]]:
 
 
 def judge_lines(
-    raw: DataFrame, order: str = "_row", noun: str = "item", hot_rows: int = HOT_ROWS
+    raw: DataFrame,
+    order: str = "_row",
+    noun: str = "item",
+    hot_rows: int = HOT_ROWS,
+    stage: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
-    """Every raw row, typed, with ``reject_reason`` (NULL for good rows)."""
-    out = parse_lines(raw).withColumn("reject_reason", first_reason(noun))
-    for reason, keys in duplicate_reasons(noun):
-        out = mark_repeats(out, keys, order, F.col("reject_reason").isNull(), "_repeat", hot_rows)
-        out = out.withColumn(
+    """Every raw row, typed, with ``reject_reason`` (NULL for good rows).
+
+    ``order`` must be unique per row. The duplicate rules run on the key columns alone; the few
+    repeats they find are then joined to the rows by ``order``. ``stage`` writes the parsed rows
+    once, so that none of this parses text again.
+    """
+    typed = parse_lines(raw).withColumn("reject_reason", first_reason(noun))
+    typed = stage(typed, "judged") if stage else typed
+    keys = typed.select(order, *dict.fromkeys([*LINE_KEY, *LINE_CONTENT]), "reject_reason")
+    for reason, columns in duplicate_reasons(noun):
+        alive = F.col("reject_reason").isNull()
+        marked = mark_repeats(keys, columns, order, alive, "_repeat", hot_rows)
+        keys = marked.withColumn(
             "reject_reason", F.when(F.col("_repeat"), reason).otherwise(F.col("reject_reason"))
         ).drop("_repeat")
-    return out
+    repeats = keys.filter(
+        F.col("reject_reason").isin(*[reason for reason, _ in duplicate_reasons(noun)])
+    ).select(order, F.col("reject_reason").alias("_repeat"))
+    return typed.join(repeats, order, "left").withColumn(
+        "reject_reason", F.coalesce("reject_reason", "_repeat")
+    ).drop("_repeat")
 
 
 def rejected_rows(judged: DataFrame) -> DataFrame:

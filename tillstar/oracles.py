@@ -558,7 +558,7 @@ ORACLES: dict[str, str] = {
     confidence_a_to_b_pct, lift FROM aff WHERE lift > 1
     ORDER BY lift DESC, orders_together DESC, product_a, product_b LIMIT 20"""),
     "q08_affinity_matrix": _retail(
-        _PAIRS, "SELECT product_a, product_b, lift FROM aff WHERE lift > 1.02"
+        _PAIRS, "SELECT product_a, product_b, lift FROM aff WHERE lift > 0.95"
     ),
     "q09_basket": _retail(_BASKETS, _BASKET),
     "q10_ingredients": _retail(_ITEMS + _EXPOSURE, f"""SELECT ingredient_name, products_using,
