@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,7 +15,10 @@ _CASED = r"[\p{IsLowercase}\p{IsUppercase}\p{Lt}]"
 
 @F.arrow_udf(T.StringType())
 def _nfkc(texts: pa.Array) -> pa.Array:
-    return pc.utf8_normalize(texts, form="NFKC")
+    if texts.null_count == len(texts):
+        return texts
+    folded = [t and unicodedata.normalize("NFKC", t) for t in texts.to_pylist()]
+    return pa.array(folded, pa.string())
 
 
 # Without this mark, a filter on cleaned text is pushed below the call and runs Python twice.
