@@ -95,11 +95,15 @@ def lines(spark):
     return make
 
 
-@pytest.fixture
-def star(lines, tmp_path):
-    def make(*rows, **options):
-        return build_star(
-            lines(*rows), lambda df, name: staged(df, str(tmp_path / "star"), name), **options
-        )
+@pytest.fixture(scope="session")
+def star(lines, tmp_path_factory):
+    """star((order, product, when, quantity, price), ...); the same rows are built once."""
+    built = {}
+
+    def make(*rows):
+        if rows not in built:
+            folder = str(tmp_path_factory.mktemp("star"))
+            built[rows] = build_star(lines(*rows), lambda df, name: staged(df, folder, name))
+        return built[rows]
 
     return make
