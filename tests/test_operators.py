@@ -100,7 +100,9 @@ def test_affinity_is_exact_with_baskets_set_aside(spark, large, min_orders):
     single = Counter(c for codes in baskets.values() for c in codes)
     pairs = Counter(p for codes in baskets.values() for p in combinations(sorted(codes), 2))
     want = {p: n for p, n in pairs.items() if n >= min_orders}
-    got = affinity.basket_affinity(df, "o", "c", min_orders, large).collect()
+    got = affinity.basket_affinity(
+        df, "o", "c", F.lit(len(baskets)), 8, min_orders, large
+    ).collect()
     assert {(r.a, r.b): r.orders_together for r in got} == want
     for r in got:
         n, a, b, k = len(baskets), single[r.a], single[r.b], r.orders_together

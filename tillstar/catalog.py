@@ -112,7 +112,7 @@ def _order_context(star: Star) -> DataFrame:
 
 def _scd2(star: Star) -> DataFrame:
     lines = star.fact_order_items.join(
-        star.dim_item.select("item_key", "product_code"), "item_key"
+        star.items("item_key", "product_code"), "item_key"
     ).select("product_code", F.col("order_ts").cast("date").alias("day"), "order_item_id",
              "unit_price")
     return history.versions(lines, "product_code", "day", "unit_price", "order_item_id")

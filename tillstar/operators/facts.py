@@ -26,14 +26,16 @@ def order_context(
 def fact_order_items(
     lines: DataFrame, items: DataFrame, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Surrogate keys and order context on every line; text stays in the dimensions."""
-    keyed = lines.join(items.select("item_key", "item_name_id"), "item_name_id", "left")
-    narrow = keyed.select(
+    """Surrogate keys and order context on every line; text stays in the dimensions.
+
+    The order context comes first: it then counts orders on the lines as written, not on a join.
+    """
+    narrow = lines.select(
         F.col("item_id").alias("order_item_id"),
         "order_id",
         date_key(F.col("order_ts")).alias("date_key"),
         F.hour("order_ts").alias("time_key"),
-        "item_key",
+        "item_name_id",
         "order_ts",
         "quantity",
         "unit_price",
@@ -41,7 +43,10 @@ def fact_order_items(
         "total_price_source",
         "price_variance_flag",
     )
-    return typed(order_context(narrow, hot_rows=hot_rows), "fact_order_items")
+    keyed = order_context(narrow, hot_rows=hot_rows).join(
+        items.select("item_key", "item_name_id"), "item_name_id", "left"
+    )
+    return typed(keyed, "fact_order_items")
 
 
 def require_no_orphans(fact: DataFrame) -> None:

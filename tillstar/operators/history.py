@@ -12,9 +12,7 @@ def versions(observed: DataFrame, key: str, day: str, value: str, order: str) ->
     Observations are first reduced to the last value per key and day, so the windows see at most
     one row per calendar day of a key, however often it was sold.
     """
-    last = observed.groupBy(key, day).agg(F.max(F.struct(order, value)).alias("v")).select(
-        key, day, F.col(f"v.{value}").alias(value)
-    )
+    last = observed.groupBy(key, day).agg(F.max_by(value, order).alias(value))
     timeline = Window.partitionBy(key).orderBy(day)
     changed = ~F.col(value).eqNullSafe(F.lag(value).over(timeline))
     first = F.row_number().over(timeline) == 1

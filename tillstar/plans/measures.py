@@ -282,7 +282,7 @@ def pareto_by_day_part(star: Star, day_part: str, limit: int = ONE_TASK_ROWS) ->
     """What sells in one part of the day: the product view of those lines only."""
     hours = star.dim_time.filter(F.col("day_part") == day_part).select("time_key")
     fact = star.fact_order_items.join(hours, "time_key", "left_semi")
-    products = views.per_product(fact, star.dim_item)
+    products = views.per_product(fact, star)
     revenue = views.total_of(fact, "total_price")
     return views.pareto(products, revenue, star.item_rows, limit)
 

@@ -21,6 +21,9 @@ from tillstar.sources.warehouse import read_published, staged
 
 Stage = Callable[[DataFrame, str], DataFrame]
 
+# Up to this many rows, the few columns that a join takes from the item dimension are broadcast.
+BROADCAST_ROWS = 1_000_000
+
 
 @dataclass(frozen=True)
 class Star:
@@ -33,6 +36,15 @@ class Star:
     #: Number of rows of ``dim_item``: an upper bound for every per-product result.
     item_rows: int
 
+    def items(self, *columns: str) -> DataFrame:
+        """Columns of the item dimension for a join with lines.
+
+        Broadcast if the counted rows allow it. Beyond that Spark shuffles both sides by key and
+        splits keys that are too frequent.
+        """
+        narrow = self.dim_item.select(*columns)
+        return F.broadcast(narrow) if self.item_rows <= BROADCAST_ROWS else narrow
+
     def tables(self) -> dict[str, DataFrame]:
         return {f.name: getattr(self, f.name) for f in fields(self) if f.name in LOAD_ORDER}
 

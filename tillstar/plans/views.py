@@ -136,7 +136,7 @@ def orders_by(star: Star, attribute: str) -> DataFrame:
     """Distinct orders per item attribute."""
     return (
         star.fact_order_items.select("order_id", "item_key")
-        .join(star.dim_item.select("item_key", attribute), "item_key")
+        .join(star.items("item_key", attribute), "item_key")
         .groupBy(attribute)
         .agg(count_distinct("order_id").alias("orders"))
     )
@@ -224,10 +224,10 @@ def weekday_hour_heatmap(star: Star) -> DataFrame:
     )
 
 
-def per_product(fact: DataFrame, items: DataFrame) -> DataFrame:
+def per_product(fact: DataFrame, star: Star) -> DataFrame:
     sums = (
         per_item(fact)
-        .join(items, "item_key")
+        .join(star.dim_item, "item_key")
         .groupBy("product_code")
         .agg(
             F.min("item_short_name").alias("item_short_name"),
@@ -241,7 +241,7 @@ def per_product(fact: DataFrame, items: DataFrame) -> DataFrame:
     )
     orders = (
         fact.select("order_id", "item_key")
-        .join(items.select("item_key", "product_code"), "item_key")
+        .join(star.items("item_key", "product_code"), "item_key")
         .groupBy("product_code")
         .agg(count_distinct("order_id").alias("orders"))
     )
@@ -266,7 +266,7 @@ def pareto(products: DataFrame, revenue: Column, rows: int, limit: int) -> DataF
 
 
 def product_performance(star: Star, limit: int = ONE_TASK_ROWS) -> DataFrame:
-    products = per_product(star.fact_order_items, star.dim_item)
+    products = per_product(star.fact_order_items, star)
     revenue = total_of(star.fact_order_items, "total_price")
     return pareto(products, revenue, star.item_rows, limit)
 
@@ -294,10 +294,13 @@ def basket_profile(star: Star) -> DataFrame:
 
 def product_affinity(star: Star, min_orders: int = 30) -> DataFrame:
     baskets = star.fact_order_items.select("order_id", "item_key").join(
-        star.dim_item.select("item_key", "product_code"), "item_key"
+        star.items("item_key", "product_code"), "item_key"
     )
+    orders = star.fact_order_items.select("order_id").distinct().agg(F.count("*").alias("n"))
     names = star.dim_item.groupBy("product_code").agg(F.min("item_short_name").alias("name"))
-    pairs = basket_affinity(baskets, "order_id", "product_code", min_orders)
+    pairs = basket_affinity(
+        baskets, "order_id", "product_code", orders.scalar(), star.item_rows, min_orders
+    )
     names_a = names.select(F.col("product_code").alias("a"), F.col("name").alias("product_a"))
     names_b = names.select(F.col("product_code").alias("b"), F.col("name").alias("product_b"))
     return (
