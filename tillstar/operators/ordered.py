@@ -95,30 +95,27 @@ def rank_from_top(
     return shifted.withColumns(new).drop("_range", *totals)
 
 
-def exact_quantiles(
-    df: DataFrame, value: str, fractions: list[float], limit: int = ONE_TASK_ROWS
+def weighted_quantiles(
+    counts: DataFrame, value: str, weight: str, fractions: list[float], rows: int,
+    limit: int = ONE_TASK_ROWS,
 ) -> DataFrame:
-    """Linearly interpolated quantiles of a numeric column, as one row of doubles q0, q1, ...
+    """Linearly interpolated quantiles of values with counts, as one row of doubles q0, q1, ...
 
-    The column is first reduced to its distinct values with their counts; the row numbers of the
-    wanted positions then follow from running counts over ranges of values.
+    ``counts`` holds each value once; ``rows`` is an upper bound of their number. The row numbers
+    of the wanted positions follow from running counts over ranges of values.
     """
-    counts = checkpointed(
-        df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("_n"))
-    )
-    distinct = counts.count()
-    ranged = _in_ranges(counts, [F.col(value)], distinct, limit)
-    shifted = _with_offsets(ranged, {"_before": F.sum("_n")}, distinct <= limit)
+    ranged = _in_ranges(counts, [F.col(value)], rows, limit)
+    shifted = _with_offsets(ranged, {"_before": F.sum(weight)}, rows <= limit)
     to_here = Window.partitionBy("_range").orderBy(value).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    placed = shifted.withColumn("_end", F.col("_before") + F.sum("_n").over(to_here))
-    size = counts.agg(F.sum("_n")).scalar()
+    placed = shifted.withColumn("_end", F.col("_before") + F.sum(weight).over(to_here))
+    size = counts.agg(F.sum(weight)).scalar()
     picks = []
     for i, fraction in enumerate(fractions):
         place = F.lit(fraction) * (size - 1)
         for side, index in (("lo", F.floor(place)), ("hi", F.ceil(place))):
-            here = (F.col("_end") - F.col("_n") <= index) & (index < F.col("_end"))
+            here = (F.col("_end") - F.col(weight) <= index) & (index < F.col("_end"))
             picks.append(F.max(F.when(here, F.col(value).cast("double"))).alias(f"{side}{i}"))
         picks.append(F.max(place - F.floor(place)).alias(f"part{i}"))
     found = placed.agg(*picks)
@@ -128,3 +125,13 @@ def exact_quantiles(
             for i in range(len(fractions))
         ]
     )
+
+
+def exact_quantiles(
+    df: DataFrame, value: str, fractions: list[float], limit: int = ONE_TASK_ROWS
+) -> DataFrame:
+    """Exact quantiles of a numeric column, reduced to its distinct values first."""
+    counts = checkpointed(
+        df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("_n"))
+    )
+    return weighted_quantiles(counts, value, "_n", fractions, counts.count(), limit)

@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstar.functions.calendar import is_strict_time, strict_date
-from tillstar.functions.money import amount, percent, ratio
-from tillstar.operators.ordered import ONE_TASK_ROWS, exact_quantiles
+from tillstar.functions.money import amount, cents, percent, ratio
+from tillstar.operators.ordered import ONE_TASK_ROWS, weighted_quantiles
 from tillstar.operators.quarantine import price
 from tillstar.schemas import RAW_COLUMNS
+from tillstar.session import checkpointed
 
 FD_COLUMNS = ["item_name", "item_category", "item_size", "unit_price"]
 
@@ -68,31 +69,52 @@ def _numbers(raw: DataFrame) -> DataFrame:
 
 
 def numeric(raw: DataFrame, limit: int = ONE_TASK_ROWS) -> DataFrame:
-    """Count, mean, deviation, quartiles and rule counts of the three measures."""
-    numbers = _numbers(raw)
+    """Count, mean, deviation, quartiles and rule counts of the three measures.
 
-    def describe(c: str) -> DataFrame:
-        v = F.col(c)
-        quartiles = exact_quantiles(numbers, c, [0.25, 0.5, 0.75], limit)
+    One pass over the text leaves each measure's distinct values with their counts; all the rest
+    follows from those.
+    """
+    names = ("quantity", "unit_price", "total_price")
+    cells = [F.struct(F.lit(n).alias("measure"), F.col(n).alias("v")) for n in names]
+    counts = checkpointed(
+        _numbers(raw)
+        .select(F.inline(F.array(*cells)))
+        .groupBy("measure", "v")
+        .agg(F.count("*").alias("n"))
+    )
+    rows = counts.count()
+    v, n = F.col("v"), F.col("n")
+    whole = cents(v).cast("decimal(19,0)")
+    times = n.cast("decimal(15,0)")
+
+    def describe(name: str) -> DataFrame:
+        mine = counts.filter(F.col("measure") == name)
+        known = mine.filter(v.isNotNull())
+        quartiles = weighted_quantiles(known, "v", "n", [0.25, 0.5, 0.75], rows, limit)
         quarter = [quartiles.select(f"q{i}").scalar() for i in range(3)]
-        return numbers.agg(
-            F.count(v).alias("count"),
-            ratio(F.sum(v), F.count(v), 5).alias("mean"),
-            F.round(F.stddev_samp(v.cast("double")), 4).cast("decimal(18,4)").alias("std"),
+        size, total = F.col("count"), F.col("sum_cents").cast("double") / 100
+        squares = F.col("sum_squares").cast("double") / 10000
+        spread = F.sqrt((squares - total * total / size) / F.nullif(size - 1, F.lit(0)))
+        sums = mine.agg(
+            F.coalesce(F.sum(F.when(v.isNotNull(), n)), F.lit(0)).alias("count"),
+            F.sum(whole * times).alias("sum_cents"),
+            F.sum((whole * whole).cast("decimal(23,0)") * times).alias("sum_squares"),
             F.min(v).alias("min"),
             F.max(v).alias("max"),
-            F.count_if(v.isNull()).alias("non_numeric"),
-            F.count_if(v <= 0).alias("non_positive"),
-        ).select(
-            F.lit(c).alias("measure"), "count", "mean", "std", "min",
+            F.coalesce(F.sum(F.when(v.isNull(), n)), F.lit(0)).alias("non_numeric"),
+            F.coalesce(F.sum(F.when(v <= 0, n)), F.lit(0)).alias("non_positive"),
+        )
+        return sums.select(
+            F.lit(name).alias("measure"), "count",
+            ratio(F.col("sum_cents").cast("decimal(28,0)"), size * 100, 5).alias("mean"),
+            F.round(spread, 4).cast("decimal(18,4)").alias("std"),
+            "min",
             *[F.round(q, 3).cast("decimal(18,3)").alias(f"p{25 * (i + 1)}")
               for i, q in enumerate(quarter)],
             "max", "non_numeric", "non_positive",
         )
 
-    return reduce(
-        DataFrame.unionByName, [describe(c) for c in ("quantity", "unit_price", "total_price")]
-    )
+    return reduce(DataFrame.unionByName, [describe(n) for n in names])
 
 
 def dates(raw: DataFrame) -> DataFrame:

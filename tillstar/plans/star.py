@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, fields
 
@@ -17,7 +18,7 @@ from tillstar.schemas import LOAD_ORDER
 from tillstar.session import shared_dir
 from tillstar.sources.raw import read_raw_csv
 from tillstar.sources.tables import RETAIL_SUFFIX, counter_lines, retail_lines
-from tillstar.sources.warehouse import read_published, staged
+from tillstar.sources.warehouse import read_published, read_table, staged
 
 Stage = Callable[[DataFrame, str], DataFrame]
 
@@ -103,19 +104,28 @@ _SOURCES = {
     "retail": (retail_lines, RETAIL_SUFFIX),
     "counter": (counter_lines, dim.SIZE_SUFFIX),
 }
-_BUILT: dict[tuple[str, str, str], Star] = {}
+_BUILT: dict[tuple[str, str, str], tuple[str, Star]] = {}
 
 
 def star_of(spark: SparkSession, sf_dir: str, source: str = "retail") -> Star:
     """The star of a set of test tables, built once per application in the shared folder."""
     key = (spark.sparkContext.applicationId, str(sf_dir), source)
-    if key not in _BUILT:
+    if key not in _BUILT or not _still_there(spark, _BUILT[key][0]):
         lines, suffix = _SOURCES[source]
-        folder = f"{shared_dir(spark)}/{len(_BUILT)}-{source}"
-        _BUILT[key] = build_star(
+        folder = f"{shared_dir(spark)}/star-{source}-{uuid.uuid4().hex[:8]}"
+        star = build_star(
             lines(spark, sf_dir), lambda df, name: staged(df, folder, name), size_suffix=suffix
         )
-    return _BUILT[key]
+        _BUILT[key] = folder, star
+    return _BUILT[key][1]
+
+
+def _still_there(spark: SparkSession, folder: str) -> bool:
+    try:
+        read_table(spark, folder, "fact_order_items")
+        return True
+    except FileNotFoundError:
+        return False
 
 
 def enriched(star: Star) -> DataFrame:
