@@ -8,9 +8,10 @@ from tillstar.operators import dimensions as dim
 from tillstar.operators import quality
 from tillstar.operators.facts import require_no_orphans
 from tillstar.plans import views
-from tillstar.plans.star import register_views, star_from_csv, view
+from tillstar.plans.star import build_star, register_views, star_from_csv, view
 from tillstar.schemas import TABLES
 from tillstar.sources import warehouse
+from tillstar.sources.warehouse import staged
 
 ROWS = [
     {"item_id": 1, "order_id": 1, "item_name_id": "GARDEN_M", "unit_price": "10.00",
@@ -82,6 +83,19 @@ def test_item_attributes_come_from_the_first_line(lines):
     assert dim.item_attributes(frame.orderBy(F.desc("item_id"))).first().item_name.endswith("1")
 
 
+def test_large_groups_give_the_same_star(lines, tmp_path):
+    rows = [(i % 4 if i % 3 else 0, "abcdefg"[i % 7], f"2015-01-0{1 + i % 4} 10:00:00", 1 + i % 3,
+             5 + i % 2) for i in range(60)]
+
+    def build(name, **options):
+        folder = str(tmp_path / name)
+        return build_star(lines(*rows), lambda df, n: staged(df, folder, n), **options)
+
+    plain, split = build("plain"), build("split", hot_rows=5, one_task_rows=3)
+    for name, df in plain.tables().items():
+        assert sorted(map(str, df.collect())) == sorted(map(str, split.tables()[name].collect()))
+
+
 def test_orphans_raise(star):
     fact = star((1, "a", "2015-01-01 10:00:00", 1, 5)).fact_order_items
     require_no_orphans(fact)

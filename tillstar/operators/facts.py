@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillstar.functions.calendar import date_key
-from tillstar.functions.money import sum_money
 from tillstar.operators.dimensions import typed
 from tillstar.operators.groups import HOT_ROWS, with_totals
 
@@ -54,7 +53,3 @@ def require_no_orphans(fact: DataFrame) -> None:
     orphans = fact.filter(F.col("item_key").isNull()).count()
     if orphans:
         raise RuntimeError(f"{orphans} fact rows failed to match dim_item")
-
-
-def total_revenue(fact: DataFrame) -> DataFrame:
-    return fact.agg(sum_money(F.col("total_price")).alias("total_revenue"))

@@ -49,10 +49,6 @@ class Star:
     def tables(self) -> dict[str, DataFrame]:
         return {f.name: getattr(self, f.name) for f in fields(self) if f.name in LOAD_ORDER}
 
-    def register(self) -> None:
-        for name, df in self.tables().items():
-            df.createOrReplaceTempView(name)
-
 
 def build_star(
     lines: DataFrame,
@@ -151,10 +147,3 @@ def view(spark: SparkSession, name: str, order_by: str | None = None) -> DataFra
     """A registered view, sorted if asked."""
     out = spark.table(name)
     return out.orderBy(*[c.strip() for c in order_by.split(",")]) if order_by else out
-
-
-def load_summary(star: Star) -> DataFrame:
-    return star.fact_order_items.agg(
-        F.count("*").alias("fact_rows"),
-        F.count_if("price_variance_flag").alias("price_variances"),
-    )

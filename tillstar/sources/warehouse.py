@@ -76,8 +76,10 @@ def publish(
     folder = f"{root}/runs/{run}"
     order = [t for t in LOAD_ORDER if t in tables] + [t for t in tables if t not in LOAD_ORDER]
     for name in order:
-        writer = from_item_names(tables[name], noun).write.mode("overwrite").format(file_format)
-        columns = (partition_by or {}).get(name)
+        columns = (partition_by or {}).get(name, [])
+        # Few files per partition folder, yet a folder with most of the rows still gets many tasks.
+        df = tables[name].hint("rebalance", *columns) if columns else tables[name]
+        writer = from_item_names(df, noun).write.mode("overwrite").format(file_format)
         if columns:
             writer = writer.partitionBy(*columns)
         writer.save(f"{folder}/{table_name(name, noun)}")
