@@ -16,13 +16,13 @@ from tillstar.sources.warehouse import staged
 ROWS = [
     {"item_id": 1, "order_id": 1, "item_name_id": "GARDEN_M", "unit_price": "10.00",
      "total_price": "10.00"},
-    {"item_id": 2, "order_id": 1, "item_name_id": "bbq_ckn_l", "item_size": "L", "quantity": 2,
+    {"item_id": 2, "order_id": 1, "item_name_id": "alpha_hen_l", "item_size": "L", "quantity": 2,
      "unit_price": "20.75", "total_price": "41.50", "item_category": "chicken",
-     "item_name": "The Barbecue Chicken Dish", "item_ingredients": "Barbecued Chicken, sun-dried tomatoes"},
-    {"item_id": 3, "order_id": 2, "item_name_id": "bbq_ckn_s", "item_size": "S",
+     "item_name": "The Alpha Hen Dish", "item_ingredients": "Barbecued Chicken, sun-dried tomatoes"},
+    {"item_id": 3, "order_id": 2, "item_name_id": "alpha_hen_s", "item_size": "S",
      "order_date": "04-01-2015", "unit_price": "12.75", "total_price": "12.80",
-     "item_category": "chicken", "item_name": "The Barbecue Chicken Dish",
-     "item_ingredients": "Barbecued Chicken, , Barbecued  Chicken,?DUJA salami"},
+     "item_category": "chicken", "item_name": "The Alpha Hen Dish",
+     "item_ingredients": "Barbecued Chicken, , Barbecued  Chicken,?NOVA salami"},
     {"item_id": 4, "order_id": 3, "item_name_id": "garden_m", "order_date": "04-01-2015",
      "unit_price": "10.01", "total_price": "10.01"},
 ]
@@ -36,17 +36,17 @@ def dish_star(spark, write_csv, tmp_path):
 
 def test_star_from_a_file(dish_star):
     items = {r.item_name_id: r for r in dish_star.dim_item.collect()}
-    assert [items[k].item_key for k in ("bbq_ckn_s", "bbq_ckn_l", "garden_m")] == [1, 2, 3]
-    garden, bbq = items["garden_m"], items["bbq_ckn_s"]
+    assert [items[k].item_key for k in ("alpha_hen_s", "alpha_hen_l", "garden_m")] == [1, 2, 3]
+    garden, hen = items["garden_m"], items["alpha_hen_s"]
     assert (garden.unit_price, garden.min_unit_price, garden.max_unit_price) == (
         Decimal("10.01"), Decimal("10.00"), Decimal("10.01"))  # the median 10.005 rounds up
     assert garden.price_is_stable and garden.is_vegetarian and garden.ingredient_count == 2
-    assert bbq.item_short_name == "Barbecue Chicken" and bbq.product_code == "bbq_ckn"
-    assert bbq.ingredient_count == 3 and not bbq.is_vegetarian and bbq.item_category == "Chicken"
+    assert hen.item_short_name == "Alpha Hen" and hen.product_code == "alpha_hen"
+    assert hen.ingredient_count == 3 and not hen.is_vegetarian and hen.item_category == "Chicken"
     names = {r.ingredient_name: (r.ingredient_key, r.is_cheese)
              for r in dish_star.dim_ingredient.collect()}
     assert names == {
-        "?Duja Salami": (1, False), "Barbecued Chicken": (2, False), "Goat Cheese": (3, True),
+        "?Nova Salami": (1, False), "Barbecued Chicken": (2, False), "Goat Cheese": (3, True),
         "Sun-Dried Tomatoes": (4, False), "Tomatoes": (5, False)}
     links = {tuple(r) for r in dish_star.bridge_item_ingredient.collect()}
     assert links == {(1, 1), (1, 2), (2, 2), (2, 4), (3, 3), (3, 5)}
