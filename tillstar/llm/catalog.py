@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.llm import bpe, chat, decontaminate, lines
+from tillstar.llm import bpe, chat, decontaminate, lines, quality, toxicity
 from tillstar.llm.tables import documents, hex_sha256, table
+from tillstar.llm.training import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,14 +58,37 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _judged(scored: DataFrame, folds: int, held_out: int) -> DataFrame:
+    return scored.select(
+        "doc_id", (fold(F.col("doc_id"), folds) == held_out).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels")
+    network = toxicity.fit(docs, labels, "toxic", fold(F.col("doc_id"), 5) != 0)
+    return _judged(toxicity.score_documents(docs, network), 5, 0)
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.broadcast_ranks(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"))
     return bpe.round_trip(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels")
+    model = quality.fit(docs, labels, "quality", fold(F.col("doc_id"), 3) != 1)
+    return _judged(quality.score_documents(docs, model), 3, 1)
+
+
 QUERIES: dict[str, Query] = {
     "op2_chat_formatting": op2_chat_formatting,
     "op3_line_dedup": op3_line_dedup,
     "op4_decontamination": op4_decontamination,
+    "op6_toxicity": op6_toxicity,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_quality": op9_quality,
 }
