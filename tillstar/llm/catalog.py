@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.llm import bpe, chat, decontaminate, lines, quality, toxicity
+from tillstar.llm import bpe, chat, decontaminate, lines, quality, simhash, toxicity
 from tillstar.llm.tables import documents, hex_sha256, table
 from tillstar.llm.training import fold
 
@@ -72,6 +72,12 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(toxicity.score_documents(docs, network), 5, 0)
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir)).select(
+        "doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id"
+    )
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.broadcast_ranks(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"))
     return bpe.round_trip(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
@@ -89,6 +95,7 @@ QUERIES: dict[str, Query] = {
     "op3_line_dedup": op3_line_dedup,
     "op4_decontamination": op4_decontamination,
     "op6_toxicity": op6_toxicity,
+    "op7_simhash": op7_simhash,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_quality": op9_quality,
 }
