@@ -8,13 +8,34 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.llm import bpe, chat, decontaminate, lines, quality, simhash, toxicity
+from tillstar.llm import bpe, chat, decontaminate, fingerprints, lines, quality, simhash, toxicity
 from tillstar.llm.tables import documents, hex_sha256, table
 from tillstar.llm.training import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fingerprints.with_next(documents(spark, sf_dir))
+    chars = F.char_length("text")
+    quarter = F.floor(chars / 4).cast("int")
+    rows = rows.withColumns(
+        {"n_chars": chars.cast("bigint"),
+         "edited": F.concat(F.substr("text", F.lit(1), chars - quarter),
+                            F.substr("next_text", F.lit(1), quarter))}
+    )
+    compared = fingerprints.compare_versions(
+        rows, "text", {"edited": "edited", "next": "next_text"}
+    )
+    return compared.select(
+        "doc_id", "n_chars", hex_sha256("edited").alias("edited_sha256"),
+        "fingerprint", "edited_fingerprint",
+        F.col("edited_likeness").alias("near_edited"), F.col("next_likeness").alias("near_next"),
+        F.size("edited_lost").cast("bigint").alias("n_lost"),
+        F.size("edited_only").cast("bigint").alias("n_added"),
+    )
+
+
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     probe = spark.sql(
         "SELECT -1L AS conv_id, turn, role, '</s>[INST] ok [/INST]' AS text "
@@ -91,6 +112,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_fingerprints": op1_fingerprints,
     "op2_chat_formatting": op2_chat_formatting,
     "op3_line_dedup": op3_line_dedup,
     "op4_decontamination": op4_decontamination,
