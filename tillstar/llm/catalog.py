@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.llm import bpe, chat, decontaminate, fingerprints, lines, quality, simhash, toxicity
+from tillstar.llm import bpe, chat, decontaminate, fingerprints, lines, quality, simhash, spans, toxicity
 from tillstar.llm.tables import documents, hex_sha256, table
 from tillstar.llm.training import fold
 
@@ -111,6 +111,13 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(quality.score_documents(docs, model), 3, 1)
 
 
+def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return spans.drop_repeated_spans(docs).select(
+        "doc_id", "n_sentences", "n_removed", hex_sha256("kept").alias("kept_sha256")
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_chat_formatting": op2_chat_formatting,
@@ -120,4 +127,5 @@ QUERIES: dict[str, Query] = {
     "op7_simhash": op7_simhash,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_quality": op9_quality,
+    "op10_sentence_spans": op10_sentence_spans,
 }

@@ -89,4 +89,34 @@ ORACLES: dict[str, str] = {
         FROM doc_words d LEFT JOIN hit_words h ON d.doc_id = h.doc_id
         LEFT JOIN hit_items i ON d.doc_id = i.doc_id
     """,
+    "op10_sentence_spans": f"""
+        WITH pieces AS (
+          SELECT doc_id, unnest(p) AS piece, generate_subscripts(p, 1) AS pos
+          FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''),
+                  '[^.!?\\n]+[.!?\\n]*[ \\t\\r\\n]*|[.!?\\n]+[ \\t\\r\\n]*') AS p FROM documents)
+        ), keyed AS (
+          SELECT *, trim(regexp_replace({_LOWER.format("piece")}, '[ \\t\\r\\n]+', ' ', 'g'))
+            AS key FROM pieces
+        ), spans AS (
+          SELECT doc_id, pos, key || chr(10) || lead(key, 1) OVER w || chr(10)
+            || lead(key, 2) OVER w AS span
+          FROM keyed WINDOW w AS (PARTITION BY doc_id ORDER BY pos)
+        ), later AS (
+          SELECT doc_id, pos FROM (
+            SELECT doc_id, pos, row_number() OVER (PARTITION BY span ORDER BY doc_id, pos) AS n
+            FROM spans WHERE length(span) - 2 >= 30) WHERE n > 1
+        ), covered AS (
+          SELECT DISTINCT doc_id, unnest([pos, pos + 1, pos + 2]) AS pos FROM later
+        ), marked AS (
+          SELECT k.doc_id, k.pos, k.piece, c.pos IS NOT NULL AS removed
+          FROM keyed k LEFT JOIN covered c ON k.doc_id = c.doc_id AND k.pos = c.pos
+        ), joined AS (
+          SELECT doc_id, count(*) AS n_sentences, count(*) FILTER (removed) AS n_removed,
+            coalesce(string_agg(piece, '' ORDER BY pos) FILTER (NOT removed), '') AS kept
+          FROM marked GROUP BY doc_id
+        )
+        SELECT d.doc_id, coalesce(n_sentences, 0) AS n_sentences,
+          coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM documents d LEFT JOIN joined j ON d.doc_id = j.doc_id
+    """,
 }
