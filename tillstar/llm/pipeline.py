@@ -8,12 +8,27 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.llm import bpe, decontaminate, lines
+from tillstar.llm import bpe, decontaminate, lines, simhash, toxicity
 from tillstar.llm.tables import documents, table, written
+from tillstar.llm.training import fold
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Documents whose id is not in ``ids``, a column ``doc_id``; a null id matches a null one."""
+    gone = ids.select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+
+
+def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the network scores 0.5 or more go."""
+    labels = table(spark, sf_dir, "labels")
+    network = toxicity.fit(docs, labels, "toxic", fold(F.col("doc_id"), 5) != 0)
+    scores = toxicity.score_documents(docs, network)
+    return without_ids(docs, scores.filter("score >= 0.5"))
+
+
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines found in ten documents or more go; ``n_chars`` follows the text."""
     kept = lines.drop_frequent_lines(docs)
@@ -21,11 +36,17 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.select([changed.get(c, F.col(c)).alias(c) for c in docs.columns])
 
 
+def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the smallest id stays, once."""
+    found = simhash.near_duplicates(docs)
+    gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return without_ids(docs, gone).dropDuplicates(["doc_id"])
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
     found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"))
-    hit = found.filter("n_hit > 0").select("doc_id").distinct()
-    return docs.join(hit, "doc_id", "left_anti").select(docs.columns)
+    return without_ids(docs, found.filter("n_hit > 0"))
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +55,9 @@ def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", toxicity_filter),
     ("line_dedup", line_dedup),
+    ("simhash_near_dedup", simhash_dedup),
     ("benchmark_decontamination", decontamination),
     ("byte_bpe", byte_bpe),
 ]
