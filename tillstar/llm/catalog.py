@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.llm import bpe, chat, decontaminate, fingerprints, lines, quality, simhash, spans, toxicity
+from tillstar.llm import bpe, chat, decontaminate, fingerprints, lines, quality, simhash, spans, suffixes, toxicity
 from tillstar.llm.tables import documents, hex_sha256, table
 from tillstar.llm.training import fold
 
@@ -79,6 +79,12 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(documents(spark, sf_dir)).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", hex_sha256("kept").alias("kept_sha256")
+    )
+
+
 def _judged(scored: DataFrame, folds: int, held_out: int) -> DataFrame:
     return scored.select(
         "doc_id", (fold(F.col("doc_id"), folds) == held_out).alias("held_out"), "score",
@@ -123,6 +129,7 @@ QUERIES: dict[str, Query] = {
     "op2_chat_formatting": op2_chat_formatting,
     "op3_line_dedup": op3_line_dedup,
     "op4_decontamination": op4_decontamination,
+    "op5_suffixes": op5_suffixes,
     "op6_toxicity": op6_toxicity,
     "op7_simhash": op7_simhash,
     "op8_byte_bpe": op8_byte_bpe,
