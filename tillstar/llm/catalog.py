@@ -64,7 +64,7 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return lines.drop_frequent_lines(docs).select(
-        "doc_id", "n_lines", "n_dropped", hex_sha256("kept").alias("kept_sha256")
+        "row.doc_id", "n_lines", "n_dropped", hex_sha256("kept").alias("kept_sha256")
     )
 
 
@@ -120,7 +120,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return spans.drop_repeated_spans(docs).select(
-        "doc_id", "n_sentences", "n_removed", hex_sha256("kept").alias("kept_sha256")
+        "row.doc_id", "n_sentences", "n_removed", hex_sha256("kept").alias("kept_sha256")
     )
 
 

@@ -75,7 +75,7 @@ class LineRuns:
 def drop_frequent_lines(
     docs: DataFrame, at_least: int = 10, min_chars: int = 1, batches: int = BATCHES
 ) -> DataFrame:
-    """``doc_id, text, n_lines, n_dropped, kept`` of every row of ``docs``, with other columns.
+    """``row`` (all columns of ``docs``), ``n_lines, n_dropped, kept`` of every row of ``docs``.
 
     Lines whose key (stripped, A-Z lower-cased) has ``min_chars`` code points or more and is found
     in ``at_least`` documents are dropped everywhere. Each row is a document, so a repeated row
@@ -108,11 +108,15 @@ def drop_frequent_lines(
         .agg(F.sort_array(F.collect_set("_at")).alias("_drop"))
         .withColumnRenamed("doc_id", "_id").withColumnRenamed("_text", "_key")
     )
-    joined = docs.withColumn("_text", F.xxhash64("text")).join(
-        dropped, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_key")), "left"
+    rows = docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.xxhash64("text").alias("_text")
+    )
+    joined = rows.join(
+        dropped,
+        F.col("row.doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_key")), "left",
     )
     lines, drop = F.col("_lines"), F.coalesce("_drop", F.array().cast("array<int>"))
-    kept = joined.withColumn("_lines", text_lines(F.col("text"))).withColumn(
+    kept = joined.withColumn("_lines", text_lines(F.col("row.text"))).withColumn(
         # the stretches between dropped lines, so that cost stays linear in the lines
         "_cuts", F.concat(F.array(F.lit(-1)), drop, F.array(F.size(lines)))
     )
@@ -125,7 +129,7 @@ def drop_frequent_lines(
         ),
     )
     return kept.select(
-        *[docs[c] for c in docs.columns],
+        "row",
         F.size(lines).cast("bigint").alias("n_lines"),
         F.size(drop).cast("bigint").alias("n_dropped"),
         F.array_join(F.flatten(stretches), "\n").alias("kept"),

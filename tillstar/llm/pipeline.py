@@ -18,7 +18,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """Documents whose id is not in ``ids``, a column ``doc_id``; a null id matches a null one."""
     gone = ids.select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +33,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines found in ten documents or more go; ``n_chars`` follows the text."""
     kept = lines.drop_frequent_lines(docs)
     changed = {"text": F.col("kept"), "n_chars": F.char_length("kept").cast("bigint")}
-    return kept.select([changed.get(c, F.col(c)).alias(c) for c in docs.columns])
+    return kept.select([changed.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

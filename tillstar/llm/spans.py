@@ -64,7 +64,7 @@ def _spans(text: Column, size: int, min_chars: int) -> Column:
 def drop_repeated_spans(
     docs: DataFrame, size: int = SPAN, min_chars: int = MIN_CHARS
 ) -> DataFrame:
-    """All rows and columns of ``docs`` plus ``n_sentences, n_removed, kept``.
+    """``row`` (all columns of ``docs``), ``n_sentences, n_removed, kept`` of every row.
 
     A span is a run of ``size`` sentences with ``min_chars`` code points or more in all; sentences
     are alike but for the case of A-Z and white space. Of each span found more than once the first
@@ -96,10 +96,13 @@ def drop_repeated_spans(
     )
     removed = places.groupBy("_id", "_text").agg(F.sort_array(F.collect_set("at")).alias("_places"))
     removed = removed.withColumnRenamed("_id", "_of").withColumnRenamed("_text", "_key")
-    joined = docs.withColumns(
-        {"_id": F.coalesce(F.col("doc_id").cast("bigint"), first_id), "_text": F.xxhash64("text")}
-    ).join(removed, (F.col("_id") == F.col("_of")) & (F.col("_text") == F.col("_key")), "left")
-    rows = joined.withColumn("_sentences", sentences(F.col("text")))
+    rows = docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+        F.coalesce(F.col("doc_id").cast("bigint"), first_id).alias("_id"),
+        F.xxhash64("text").alias("_text"),
+    )
+    joined = rows.join(removed, (F.col("_id") == F.col("_of")) & (F.col("_text") == F.col("_key")), "left")
+    rows = joined.withColumn("_sentences", sentences(F.col("row.text")))
     places = F.coalesce("_places", F.array().cast("array<int>"))
     # what is between two removed spans: from the end of one to the start of the next
     starts = F.concat(F.array(F.lit(0)), F.transform(places, lambda p: p + size))
@@ -110,7 +113,7 @@ def drop_repeated_spans(
     )
     rows = rows.withColumn("_kept", F.flatten(stretches))
     return rows.select(
-        *[docs[c] for c in docs.columns],
+        "row",
         F.size("_sentences").cast("bigint").alias("n_sentences"),
         (F.size("_sentences") - F.size("_kept")).cast("bigint").alias("n_removed"),
         F.array_join("_kept", "").alias("kept"),
