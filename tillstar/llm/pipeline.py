@@ -16,7 +16,10 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Documents whose id is not in ``ids``, a column ``doc_id``; a null id matches a null one."""
+    """Documents whose id is not in ``ids``, a column ``doc_id``.
+
+    A null id matches a null one: documents without an id cannot be told apart and go together.
+    """
     gone = ids.select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
 
