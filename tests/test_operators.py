@@ -116,10 +116,21 @@ def test_versions(spark):
             ("a", "2015-01-09", 4, 12), ("b", "2015-01-02", 5, 7)]
     df = spark.createDataFrame(rows, "k string, d string, n int, v int").withColumn(
         "d", F.col("d").cast("date"))
-    got = {(r.k, str(r.valid_from)): (r.v, str(r.valid_to), r.is_current)
-           for r in history.versions(df, "k", "d", "v", "n").collect()}
+    df = df.withColumn("w", F.when(F.col("n") < 3, "x").otherwise("y"))
+    got = {(r.k, r.version): (r.v, r.w, str(r.valid_from), str(r.valid_to), r.is_current)
+           for r in history.versions(df, "k", "d", ["v", "w"], "n").collect()}
     assert got == {
-        ("a", "2015-01-01"): (11, "2015-01-08", False),
-        ("a", "2015-01-09"): (12, "None", True),
-        ("b", "2015-01-02"): (7, "None", True),
+        ("a", 1): (11, "x", "2015-01-01", "2015-01-04", False),
+        ("a", 2): (11, "y", "2015-01-05", "2015-01-08", False),
+        ("a", 3): (12, "y", "2015-01-09", "None", True),
+        ("b", 1): (7, "y", "2015-01-02", "None", True),
     }
+
+
+def test_profile_survives_a_huge_value(spark, raw):
+    from tillstar.operators import profiling
+
+    rows = [{"item_id": i, "total_price": p} for i, p in
+            enumerate(["1.00", "2.00", "9999999999999.00", "n/a"])]
+    got = {r.measure: r for r in profiling.numeric(raw(*rows).drop("_row")).collect()}["total_price"]
+    assert (got["count"], got.non_numeric, str(got.max)) == (3, 1, "9999999999999.00")

@@ -28,6 +28,27 @@ ROWS = [
 ]
 
 
+def test_rejected_rows_stay_with_the_star(spark, write_csv, tmp_path):
+    first = write_csv(tmp_path / "a.csv", [{**ROWS[0], "unit_price": "11.00"}])
+    copies = [{**r, "item_id": 1} for r in ROWS] + [{"item_id": "x"}, {"item_id": 9, "quantity": 0}]
+    second = write_csv(tmp_path / "b.csv", copies * 50)
+    star = star_from_csv(spark, str(tmp_path / "*.csv"), str(tmp_path / "star"))
+    assert first < second  # the copy of the first file is kept, however long the second one is
+    assert [r.unit_price for r in star.fact_order_items.collect()] == [Decimal("11.00")]
+    reasons = {r.reject_reason: r["count"] for r in
+               star.rejected_rows.groupBy("reject_reason").count().collect()}
+    assert reasons == {"duplicate item_id": 200, "unparseable identifier": 50,
+                       "quantity must be a positive integer": 50}
+    root = str(tmp_path / "warehouse")
+    warehouse.publish(star.tables(), root)
+    loaded = warehouse.read_published(spark, root)
+    assert loaded["rejected_rows"].count() == 300
+    status = {r.check: r.status for r in quality.quality_report(loaded).collect()}
+    assert status["rejection rate below 1%"] == "WARN"
+    with pytest.raises(ValueError):
+        quality.quality_report({k: v for k, v in loaded.items() if k != "rejected_rows"})
+
+
 @pytest.fixture
 def dish_star(spark, write_csv, tmp_path):
     path = write_csv(tmp_path / "raw.csv", ROWS, noun="dish")
@@ -99,7 +120,7 @@ def test_large_groups_give_the_same_star(lines, tmp_path):
 def test_orphans_raise(star):
     fact = star((1, "a", "2015-01-01 10:00:00", 1, 5)).fact_order_items
     require_no_orphans(fact)
-    with pytest.raises(RuntimeError, match="1 fact rows"):
+    with pytest.raises(RuntimeError, match="without an item"):
         require_no_orphans(fact.withColumn("item_key", F.lit(None)))
 
 
@@ -182,18 +203,18 @@ CHANGES = [
 
 def test_quality_gate(star):
     s = star((1, "a", "2015-01-01 10:00:00", 1, 5), (2, "b", "2015-01-03 10:00:00", 2, 3))
-    report = quality.require_quality(quality.quality_report(s.tables()))
+    report = quality.require_quality(quality.quality_report(s.tables(), 0))
     assert {r.status for r in report.collect()} == {"PASS"} and report.count() == 14
     assert tuple(quality.quality_summary(report).first()) == (14, 0, 0, 0)
     for check, table, change in CHANGES:
-        got = {r.check: r for r in quality.quality_report(broken(s, table, change)).collect()}
+        got = {r.check: r for r in quality.quality_report(broken(s, table, change), 0).collect()}
         want = "WARN" if got[check].severity == "warning" else "FAIL"
         assert got[check].status == want and got[check].detail, check
     many = {r.check: r.status for r in quality.quality_report(s.tables(), 1).collect()}
     assert many["rejection rate below 1%"] == "WARN"
     with pytest.raises(RuntimeError, match="fact primary key is unique: 2 duplicate"):
         quality.require_quality(
-            quality.quality_report(broken(s, "fact_order_items", lambda d: d.unionByName(d))))
+            quality.quality_report(broken(s, "fact_order_items", lambda d: d.unionByName(d)), 0))
 
 
 def test_declared_constraints(star):

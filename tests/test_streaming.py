@@ -4,6 +4,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from tillstar.streaming import hourly, incremental, quarantine
+from tillstar.streaming.sources import file_by_file
 
 
 def stream(spark, frame, folder):
@@ -43,14 +44,38 @@ def test_hourly_windows_over_batches(spark, lines, tmp_path):
                    datetime(2015, 1, 1, 11): (2, Decimal("16.00"))}
 
 
+def test_lines_in_any_order_are_counted(spark, lines, tmp_path):
+    target, state = str(tmp_path / "out"), str(tmp_path / "state")
+    parts = [lines((i, "a", when, 1, 5)) for i, when in enumerate(
+        ["2015-03-01 10:05:00", "2015-01-01 11:59:59", "2015-03-01 10:59:00", "2015-01-01 11:00:00"])]
+    hourly.run_hourly(file_by_file(parts, str(tmp_path / "in")), target, state)
+    got = {r.hour_start: r.lines for r in hourly.hourly_result(spark, target).collect()}
+    assert got == {datetime(2015, 3, 1, 10): 2, datetime(2015, 1, 1, 11): 2}
+
+
+def test_a_key_on_another_day_is_not_loaded_again(spark, lines, tmp_path):
+    target, state = str(tmp_path / "out"), str(tmp_path / "state")
+    parts = [lines((1, "a", when, 1, 5)).withColumn("day", F.col("order_ts").cast("date"))
+             for when in ("2015-01-02 10:00:00", "2015-01-01 10:00:00")]
+    incremental.incremental_load(
+        file_by_file(parts, str(tmp_path / "in")), target, state, ["item_id"], "day")
+    assert [str(r.day) for r in incremental.loaded_lines(spark, target).collect()] == ["2015-01-02"]
+
+
 def test_stream_quarantine(spark, raw, tmp_path):
-    folder, target, state = (str(tmp_path / n) for n in ("in", "out", "state"))
-    frame = raw({"item_id": 1}, {"item_id": 1}, {"item_id": 2, "quantity": 0}, {"item_id": 3}).drop(
-        "_row")
-    frame.coalesce(1).write.parquet(folder)
-    quarantine.run_quarantine(stream(spark, frame, folder), target, state)
-    rejected = spark.read.parquet(f"{target}/rejected").collect()
-    assert [(r.item_id, r.reject_reason) for r in rejected] == [
-        ("2", "quantity must be a positive integer")]
-    accepted = spark.read.parquet(f"{target}/accepted").collect()
-    assert sorted(r.item_id for r in accepted) == [1, 3]
+    target, state = str(tmp_path / "out"), str(tmp_path / "state")
+    content = {"order_id": 7, "order_time": "10:00:00"}
+    parts = [
+        raw({"item_id": 1}, {"item_id": 1}, {"item_id": 2, "quantity": 0}, {"item_id": 4, **content}),
+        raw({"item_id": 1}, {"item_id": 2, **content}, {"item_id": 3, "order_id": 3}),
+        raw({"item_id": 2, "order_id": 9}, {"item_id": 5, **content}, {"item_id": 6, "order_id": 6}),
+    ]
+    quarantine.run_quarantine(file_by_file(parts, str(tmp_path / "in")), target, state)
+    rejected = spark.read.parquet(f"{target}/rejected/batch=*").collect()
+    assert sorted((r.item_id, r.reject_reason) for r in rejected) == [
+        ("1", "duplicate item_id"), ("1", "duplicate item_id"),
+        ("2", "duplicate item_id"),  # its line key was used by a repeated content
+        ("2", "duplicate line item within order"), ("2", "quantity must be a positive integer"),
+        ("5", "duplicate line item within order")]
+    accepted = spark.read.parquet(f"{target}/accepted/batch=*").collect()
+    assert sorted(r.item_id for r in accepted) == [1, 3, 4, 6]

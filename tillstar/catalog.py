@@ -13,13 +13,14 @@ from tillstar.operators import history, profiling, quality, quarantine
 from tillstar.operators.groups import keep_first
 from tillstar.plans import analyst, insights, measures, views
 from tillstar.plans.measures import SliceSpec
-from tillstar.plans.star import Star, star_of
+from tillstar.plans.star import Star, star_from_csv, star_of
 from tillstar.schemas import DAY_PARTS, RAW_COLUMNS
 from tillstar.sources import tables as src
 from tillstar.sources import warehouse
+from tillstar.sources.raw import read_raw_csv
 from tillstar.streaming import hourly, incremental
 from tillstar.streaming import quarantine as stream_rules
-from tillstar.streaming.sources import new_folder, table_stream
+from tillstar.streaming.sources import file_by_file, new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -74,9 +75,13 @@ def _dedup_line_content(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _text_hygiene(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole texts through the text rules; reported by what is left of them."""
+    """Whole texts through the text rules; reported by what is left of them.
+
+    Every seventh text starts with a ligature, full-width letters and digits and a wide blank.
+    """
+    planted = F.when(F.col("doc_id") % 7 == 3, "ﬁne ＡＢＣ　１２ ").otherwise("")
     documents = src.table(spark, sf_dir, "documents").select(
-        "doc_id", F.col("text").alias("clean"), "source"
+        "doc_id", F.concat(planted, "text").alias("clean"), "source"
     )
     documents = with_clean_text(documents, ["clean", "source"])
     return documents.select(
@@ -101,6 +106,44 @@ def _day_part_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- raw files -------------------------------------------------------------------------------
+
+
+def _csv_files(spark: SparkSession, sf_dir: str) -> str:
+    """The raw text lines as two CSV files in the shared folder, in the order of their copies."""
+    folder = new_folder(spark, "raw-csv")
+    raw = src.retail_text(spark, sf_dir)
+    middle = raw.agg(F.percentile_approx("_row.l_partkey", 0.5)).first()[0]
+    first = F.col("_row.l_partkey") <= middle
+    for name, part in (("a", raw.filter(first)), ("b", raw.filter(~first))):
+        part.coalesce(1).sortWithinPartitions("_row").select(*RAW_COLUMNS).write.options(
+            header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+        ).csv(f"{folder}/{name}")
+    return f"{folder}/*"
+
+
+def _raw_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_raw_csv(spark, _csv_files(spark, sf_dir)).select(*RAW_COLUMNS)
+
+
+def _pipeline_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV to published star: row counts of the seven tables and of the source, and the gate's say."""
+    root = new_folder(spark, "warehouse")
+    star = star_from_csv(spark, _csv_files(spark, sf_dir), f"{root}-work")
+    warehouse.publish(star.tables(), root)
+    loaded = warehouse.read_published(spark, root)
+    report = quality.quality_report(loaded, categories=RETAIL_CATEGORIES)
+    rate = report.filter(F.col("check").startswith("rejection rate"))
+    summary = quarantine.run_summary(star.judged)
+    return (
+        warehouse.counts(loaded).withColumn("status", F.lit("loaded"))
+        .unionByName(summary.select(F.lit("source").alias("table"),
+                                    F.col("source_rows").alias("rows"), F.lit("read").alias("status")))
+        .unionByName(rate.select(F.lit("rejection rate").alias("table"),
+                                 F.col("bad_count").alias("rows"), "status"))
+    )
+
+
 # --- star schema -----------------------------------------------------------------------------
 
 
@@ -110,12 +153,13 @@ def _order_context(star: Star) -> DataFrame:
     )
 
 
-def _scd2(star: Star) -> DataFrame:
-    lines = star.fact_order_items.join(
-        star.items("item_key", "product_code"), "item_key"
-    ).select("product_code", F.col("order_ts").cast("date").alias("day"), "order_item_id",
-             "unit_price")
-    return history.versions(lines, "product_code", "day", "unit_price", "order_item_id")
+TRACKED = ["unit_price", "item_category", "item_size", "item_ingredients"]
+
+
+def _scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versions of the rows of the product dimension: its price, category, size and recipe by day."""
+    lines = src.retail_lines(spark, sf_dir).withColumn("day", F.col("order_ts").cast("date"))
+    return history.versions(lines, "item_name_id", "day", TRACKED, "item_id")
 
 
 def _write_star(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,15 +187,23 @@ def _load_verification(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _report(star: Star) -> DataFrame:
-    return quality.quality_report(star.tables(), categories=RETAIL_CATEGORIES)
+    # These lines come from tables, not from raw text: none was rejected.
+    return quality.quality_report(star.tables(), rejected_rows=0, categories=RETAIL_CATEGORIES)
 
 
 # --- streams ---------------------------------------------------------------------------------
 
 
+def _mixed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order lines of ``events`` as a stream of six files that each span the whole time."""
+    lines = src.event_lines(src.table(spark, sf_dir, "events"))
+    part = F.pmod(F.xxhash64("item_id"), F.lit(6))
+    return file_by_file([lines.filter(part == i) for i in range(6)], new_folder(spark, "events"))
+
+
 def _stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = new_folder(spark, "incremental")
-    lines = src.event_lines(table_stream(spark, sf_dir, "events")).select(
+    lines = _mixed_events(spark, sf_dir).select(
         "item_id", "order_id", "order_ts", "quantity", "unit_price", "total_price",
         F.col("order_ts").cast("date").alias("day"),
     )
@@ -163,21 +215,31 @@ def _stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = new_folder(spark, "hourly")
-    lines = src.event_lines(table_stream(spark, sf_dir, "events"))
-    hourly.run_hourly(lines, target, f"{target}-state")
+    hourly.run_hourly(_mixed_events(spark, sf_dir), target, f"{target}-state")
     return hourly.hourly_result(spark, target)
 
 
 def _stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw lines in four files, by part: within each file times, orders and copies are mixed."""
     target = new_folder(spark, "stream-quarantine")
-    raw = src.retail_text(spark, sf_dir, table_stream(spark, sf_dir, "lineitem")).drop("_row")
-    stream_rules.run_quarantine(raw, target, f"{target}-state")
-    rejected = spark.read.parquet(f"{target}/rejected")
-    accepted = spark.read.parquet(f"{target}/accepted")
-    return rejected.groupBy(F.col("reject_reason").alias("outcome")).agg(
-        F.count("*").alias("rows")
-    ).unionByName(accepted.select(F.lit("accepted").alias("outcome")).groupBy("outcome").agg(
-        F.count("*").alias("rows")))
+    raw = src.retail_text(spark, sf_dir)
+    cuts = raw.agg(F.expr("percentile_approx(_row.l_partkey, array(0.25, 0.5, 0.75))")).first()[0]
+    bounds = list(zip([None, *cuts], [*cuts, None]))
+    part = F.col("_row.l_partkey")
+    parts = [
+        raw.filter((part > lo if lo is not None else F.lit(True))
+                   & (part <= hi if hi is not None else F.lit(True)))
+        for lo, hi in bounds
+    ]
+    lines = file_by_file(parts, f"{target}-raw")
+    stream_rules.run_quarantine(lines, target, f"{target}-state")
+    outcome = [
+        spark.read.parquet(f"{target}/rejected/batch=*").select(
+            F.col("reject_reason").alias("outcome")),
+        spark.read.parquet(f"{target}/accepted/batch=*").select(
+            F.lit("accepted").alias("outcome")),
+    ]
+    return outcome[0].unionByName(outcome[1]).groupBy("outcome").agg(F.count("*").alias("rows"))
 
 
 SLICE = SliceSpec(
@@ -188,6 +250,8 @@ SLICE = SliceSpec(
 QUERIES: dict[str, Query] = {
     # cleaning
     "raw_scan": _raw(lambda raw: raw.select(*RAW_COLUMNS)),
+    "raw_csv_scan": _raw_csv_scan,
+    "pipeline_tables": _pipeline_tables,
     "quarantine_rows": _judged(quarantine.rejected_rows),
     "clean_rows": lambda spark, sf_dir: quarantine.clean_lines(src.retail_text(spark, sf_dir)),
     "reject_summary": _judged(quarantine.reject_summary),
@@ -204,7 +268,7 @@ QUERIES: dict[str, Query] = {
     "ingredient_bridge": _retail(lambda s: s.bridge_item_ingredient),
     "fact_order_items": _retail(lambda s: s.fact_order_items),
     "order_context": _retail(_order_context),
-    "scd2_product": _retail(_scd2),
+    "scd2_product": _scd2,
     "write_star": _write_star,
     "load_verification": _load_verification,
     # views

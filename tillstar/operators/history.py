@@ -2,25 +2,34 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def versions(observed: DataFrame, key: str, day: str, value: str, order: str) -> DataFrame:
-    """One row per key and period of equal value, with ``valid_from`` and ``valid_to``.
+def versions(
+    observed: DataFrame, key: str, day: str, tracked: list[str], order: str
+) -> DataFrame:
+    """One row per key and period without a change of the ``tracked`` columns.
 
-    Observations are first reduced to the last value per key and day, so the windows see at most
-    one row per calendar day of a key, however often it was sold.
+    ``version`` counts from 1, ``valid_from`` and ``valid_to`` are days (the current version has no
+    end). Observations are first reduced to the last ones per key and day, so the windows see at
+    most one row per calendar day of a key, however often it was sold.
     """
-    last = observed.groupBy(key, day).agg(F.max_by(value, order).alias(value))
+    last = observed.groupBy(key, day).agg(
+        *[F.max_by(c, order).alias(c) for c in tracked]
+    )
     timeline = Window.partitionBy(key).orderBy(day)
-    changed = ~F.col(value).eqNullSafe(F.lag(value).over(timeline))
     first = F.row_number().over(timeline) == 1
+    changed = reduce(or_, [~F.col(c).eqNullSafe(F.lag(c).over(timeline)) for c in tracked])
     starts = last.withColumn("_new", first | changed).filter("_new")
     following = F.lead(day).over(timeline)
     return starts.select(
         key,
-        value,
+        F.row_number().over(timeline).alias("version"),
+        *tracked,
         F.col(day).alias("valid_from"),
         F.date_sub(following, 1).alias("valid_to"),
         following.isNull().alias("is_current"),

@@ -93,12 +93,12 @@ def numeric(raw: DataFrame, limit: int = ONE_TASK_ROWS) -> DataFrame:
         quartiles = weighted_quantiles(known, "v", "n", [0.25, 0.5, 0.75], rows, limit)
         quarter = [quartiles.select(f"q{i}").scalar() for i in range(3)]
         size, total = F.col("count"), F.col("sum_cents").cast("double") / 100
-        squares = F.col("sum_squares").cast("double") / 10000
+        squares = F.col("sum_squares") / 10000
         spread = F.sqrt((squares - total * total / size) / F.nullif(size - 1, F.lit(0)))
         sums = mine.agg(
             F.coalesce(F.sum(F.when(v.isNotNull(), n)), F.lit(0)).alias("count"),
             F.sum(whole * times).alias("sum_cents"),
-            F.sum((whole * whole).cast("decimal(23,0)") * times).alias("sum_squares"),
+            F.sum(whole.cast("double") * whole.cast("double") * n).alias("sum_squares"),
             F.min(v).alias("min"),
             F.max(v).alias("max"),
             F.coalesce(F.sum(F.when(v.isNull(), n)), F.lit(0)).alias("non_numeric"),

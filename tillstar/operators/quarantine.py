@@ -93,18 +93,25 @@ def judge_lines(
     noun: str = "item",
     hot_rows: int = HOT_ROWS,
     stage: Callable[[DataFrame, str], DataFrame] | None = None,
+    known: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Every raw row, typed, with ``reject_reason`` (NULL for good rows).
 
     ``order`` must be unique per row. The duplicate rules run on the key columns alone; the few
     repeats they find are then joined to the rows by ``order``. ``stage`` writes the parsed rows
-    once, so that none of this parses text again.
+    once, so that none of this parses text again. ``known`` has, for a duplicate rule's reason,
+    keys that count as seen before the first row.
     """
     typed = parse_lines(raw).withColumn("reject_reason", first_reason(noun))
     typed = stage(typed, "judged") if stage else typed
     keys = typed.select(order, *dict.fromkeys([*LINE_KEY, *LINE_CONTENT]), "reject_reason")
     for reason, columns in duplicate_reasons(noun):
         alive = F.col("reject_reason").isNull()
+        if reason in (known or {}):
+            seen = known[reason].distinct().withColumn("_seen", F.lit(reason))
+            keys = keys.join(seen, columns, "left").withColumn(
+                "reject_reason", F.coalesce("reject_reason", "_seen")
+            ).drop("_seen")
         marked = mark_repeats(keys, columns, order, alive, "_repeat", hot_rows)
         keys = marked.withColumn(
             "reject_reason", F.when(F.col("_repeat"), reason).otherwise(F.col("reject_reason"))

@@ -50,7 +50,7 @@ _UNIT = f"((2 * {_EXT} + {_QTY}) // (2 * {_QTY}))"
 _NAME_ID = f"lower(p_brand) || '_' || p_partkey || '_' || lower({_SIZE})"
 
 _DEDUP = f"""
-s8 AS (SELECT * FROM lineitem WHERE l_quantity > 0 AND l_extendedprice > 0
+s8 AS (SELECT * FROM lineitem
   QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {_ORDER}) = 1),
 s9 AS (SELECT * FROM s8
   QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_partkey, l_quantity ORDER BY {_ORDER}) = 1)
@@ -74,7 +74,7 @@ _EVENTS = f"""e AS (SELECT event_id AS order_item_id, user_id * 100000000 + {_KE
     upper(left(event_type, 1)) || substr(event_type, 2) AS cat, 'M' AS sz, event_type AS recipe,
     1 AS qty, CAST(round(value * 100) AS BIGINT) AS uc, CAST(round(value * 100) AS BIGINT) AS tc,
     CAST(round(value * 100) AS BIGINT) AS src
-  FROM events WHERE CAST(round(value * 100) AS BIGINT) > 0),
+  FROM events),
 f AS (SELECT * FROM e
   QUALIFY row_number() OVER (PARTITION BY order_id, code, ts ORDER BY order_item_id) = 1)"""
 
@@ -202,8 +202,8 @@ def _raw(select: str) -> str:
     return f"WITH {_TEXT}\n{select}"
 
 
-def _judged(select: str) -> str:
-    return f"WITH {_JUDGED}\n{select}"
+def _judged(select: str, more: str = "") -> str:
+    return f"WITH {_JUDGED}{',' if more else ''}{more}\n{select}"
 
 
 def _calendar_row(d: str) -> str:
@@ -438,7 +438,9 @@ _BLANKS = " UNION ALL ".join(
 )
 
 _SEEN = (
-    "SELECT code AS product_code, d AS day, arg_max(uc, order_item_id) AS uc FROM f GROUP BY code, d"
+    "SELECT name_id, d AS day, arg_max(uc, order_item_id) AS uc, arg_max(cat, order_item_id) AS cat, "
+    "arg_max(sz, order_item_id) AS sz, arg_max(recipe, order_item_id) AS recipe "
+    "FROM f GROUP BY name_id, d"
 )
 
 _PIVOT = ", ".join(
@@ -448,6 +450,17 @@ _PIVOT = ", ".join(
 ORACLES: dict[str, str] = {
     # cleaning
     "raw_scan": _raw(f"SELECT {_RAW_COLUMNS} FROM raw"),
+    "raw_csv_scan": _raw(f"SELECT {_RAW_COLUMNS} FROM raw"),
+    "pipeline_tables": _judged(f"""SELECT "table", n AS rows, 'loaded' AS status FROM ({_TABLE_COUNTS})
+    UNION ALL SELECT 'rejected_rows', count(reject_reason), 'loaded' FROM j
+    UNION ALL SELECT 'source', count(*), 'read' FROM j
+    UNION ALL SELECT 'rejection rate', CASE WHEN r * 100 < n THEN 0 ELSE r END,
+      CASE WHEN r * 100 < n THEN 'PASS' ELSE 'WARN' END
+    FROM (SELECT count(*) AS n, count(reject_reason) AS r FROM j)""", f"""
+f AS (SELECT ok * 10 + ln AS order_item_id, ok AS order_id, d, CAST(d AS TIMESTAMP) AS ts,
+    ok % 24 AS hr, lower(item_name_id) AS name_id, lower(item_name_id) AS code, item_name AS short,
+    item_name AS name, item_category AS cat, upper(item_size) AS sz, item_ingredients AS recipe,
+    q AS qty, uc, uc * q AS tc, src FROM j WHERE reject_reason IS NULL){_ITEMS}{_CAL}"""),
     "quarantine_rows": _judged(
         f"SELECT {_RAW_COLUMNS}, reject_reason FROM j WHERE reject_reason IS NOT NULL"
     ),
@@ -471,7 +484,7 @@ ORACLES: dict[str, str] = {
         "", "SELECT order_item_id, order_id, name_id AS item_name_id, qty AS quantity FROM f"
     ),
     "text_hygiene": r"""WITH c AS (SELECT doc_id, source,
-    trim(regexp_replace(nfc_normalize(text), '[\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+', ' ', 'g')) AS clean
+    trim(regexp_replace(CASE WHEN doc_id % 7 = 3 THEN 'fine ABC 12 ' ELSE '' END || nfc_normalize(text), '[\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+', ' ', 'g')) AS clean
   FROM documents) SELECT doc_id, length(clean) AS clean_chars, md5(clean) AS clean_md5,
     upper(left(source, 1)) || lower(substr(source, 2)) AS source_title FROM c""",
     "day_part_range_join": _counter("", f"SELECT {_PART} AS day_part, count(*) AS lines FROM f GROUP BY 1"),
@@ -496,12 +509,18 @@ ORACLES: dict[str, str] = {
     "order_context": _retail("", f"""SELECT order_item_id, order_id, count(*) OVER o AS order_line_count,
     {_big('sum(qty) OVER o')} AS order_item_count, {_money('sum(tc) OVER o')} AS order_total_value
     FROM f WINDOW o AS (PARTITION BY order_id)"""),
-    "scd2_product": _retail("", f"""SELECT product_code,
-    CAST({_money('uc')} AS DECIMAL(10,2)) AS unit_price, day AS valid_from,
+    "scd2_product": _retail("", f"""SELECT name_id AS item_name_id,
+    CAST(row_number() OVER w AS INTEGER) AS version,
+    CAST({_money('uc')} AS DECIMAL(10,2)) AS unit_price, cat AS item_category, sz AS item_size,
+    recipe AS item_ingredients, day AS valid_from,
     CAST(lead(day) OVER w - INTERVAL 1 DAY AS DATE) AS valid_to,
     lead(day) OVER w IS NULL AS is_current
-    FROM (SELECT *, lag(uc) OVER (PARTITION BY product_code ORDER BY day) AS prev FROM ({_SEEN}))
-    WHERE prev IS DISTINCT FROM uc WINDOW w AS (PARTITION BY product_code ORDER BY day)"""),
+    FROM (SELECT *, row_number() OVER k AS n, lag(uc) OVER k AS puc, lag(cat) OVER k AS pcat,
+        lag(sz) OVER k AS psz, lag(recipe) OVER k AS precipe FROM ({_SEEN})
+      WINDOW k AS (PARTITION BY name_id ORDER BY day))
+    WHERE n = 1 OR puc IS DISTINCT FROM uc OR pcat IS DISTINCT FROM cat
+      OR psz IS DISTINCT FROM sz OR precipe IS DISTINCT FROM recipe
+    WINDOW w AS (PARTITION BY name_id ORDER BY day)"""),
     "write_star": _retail(
         _ITEMS + _CAL, f'SELECT "table", n AS rows FROM ({_TABLE_COUNTS})'
     ),
@@ -765,7 +784,6 @@ ORACLES: dict[str, str] = {
     {_money('sum(tc)')} AS revenue FROM e GROUP BY d"""),
     "stream_hourly": _counter("", f"""SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS hour_start,
     count(*) AS lines, {_money('sum(tc)')} AS revenue FROM e GROUP BY 1"""),
-    "stream_quarantine": _judged("""SELECT r1 AS outcome, count(*) AS rows FROM j1
-    WHERE r1 IS NOT NULL GROUP BY 1
-    UNION ALL SELECT 'accepted', count(DISTINCT item_id) FROM j1 WHERE r1 IS NULL"""),
+    "stream_quarantine": _judged("""SELECT coalesce(reject_reason, 'accepted') AS outcome,
+    count(*) AS rows FROM j GROUP BY 1"""),
 }

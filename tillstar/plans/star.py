@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from dataclasses import dataclass, fields
+from dataclasses import dataclass, fields, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +13,8 @@ from tillstar.operators import dimensions as dim
 from tillstar.operators.facts import fact_order_items, require_no_orphans
 from tillstar.operators.groups import HOT_ROWS
 from tillstar.operators.ordered import ONE_TASK_ROWS
-from tillstar.operators.quarantine import clean_lines
+from tillstar.operators.quarantine import good_lines, judge_lines
+from tillstar.operators.quarantine import rejected_rows as quarantined
 from tillstar.schemas import LOAD_ORDER
 from tillstar.session import shared_dir
 from tillstar.sources.raw import read_raw_csv
@@ -22,9 +23,6 @@ from tillstar.sources.warehouse import read_published, read_table, staged
 
 Stage = Callable[[DataFrame, str], DataFrame]
 
-# Up to this many rows, the few columns that a join takes from the item dimension are broadcast.
-BROADCAST_ROWS = 1_000_000
-
 
 @dataclass(frozen=True)
 class Star:
@@ -36,18 +34,22 @@ class Star:
     fact_order_items: DataFrame
     #: Number of rows of ``dim_item``: an upper bound for every per-product result.
     item_rows: int
+    #: Raw rows with the reason why they are not in the fact, if the star comes from raw rows.
+    rejected_rows: DataFrame | None = None
+    #: All raw rows, typed, with ``reject_reason``: what run summaries are made from.
+    judged: DataFrame | None = None
 
     def items(self, *columns: str) -> DataFrame:
         """Columns of the item dimension for a join with lines.
 
-        Broadcast if the counted rows allow it. Beyond that Spark shuffles both sides by key and
-        splits keys that are too frequent.
+        The written size tells Spark whether to broadcast them. Otherwise it shuffles both sides by
+        key and splits keys that are too frequent.
         """
-        narrow = self.dim_item.select(*columns)
-        return F.broadcast(narrow) if self.item_rows <= BROADCAST_ROWS else narrow
+        return self.dim_item.select(*columns)
 
     def tables(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self) if f.name in LOAD_ORDER}
+        own = {f.name: getattr(self, f.name) for f in fields(self) if f.name in LOAD_ORDER}
+        return {name: df for name, df in own.items() if df is not None}
 
 
 def build_star(
@@ -86,9 +88,17 @@ def build_star(
 
 
 def star_from_csv(spark: SparkSession, path: str, folder: str, noun: str = "item") -> Star:
-    """Clean a raw CSV and build the star under ``folder``."""
-    lines = clean_lines(read_raw_csv(spark, path, noun), noun=noun)
-    return build_star(lines, lambda df, name: staged(df, folder, name), noun)
+    """Judge the lines of raw CSV files and build the star of the good ones under ``folder``.
+
+    Every raw row is either a line of the fact or a row of ``rejected_rows``, with its reason.
+    """
+    def stage(df: DataFrame, name: str) -> DataFrame:
+        return staged(df, folder, name)
+
+    judged = stage(judge_lines(read_raw_csv(spark, path, noun), noun=noun, stage=stage), "outcome")
+    star = build_star(good_lines(judged), stage, noun)
+    rejected = stage(quarantined(judged), "rejected_rows")
+    return replace(star, rejected_rows=rejected, judged=judged)
 
 
 def star_from_published(spark: SparkSession, root: str, noun: str = "item") -> Star:

@@ -135,10 +135,12 @@ TABLES: dict[str, T.StructType] = {
     ),
 }
 
+TABLES["rejected_rows"] = _table(*[(c, _TEXT) for c in [*RAW_COLUMNS, "reject_reason"]])
+
 # Parents before children.
 LOAD_ORDER = [
     "dim_date", "dim_time", "dim_item", "dim_ingredient", "bridge_item_ingredient",
-    "fact_order_items",
+    "fact_order_items", "rejected_rows",
 ]
 
 

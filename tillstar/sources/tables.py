@@ -24,15 +24,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give every core a share of a scan that has fewer tasks than there are cores.
-
-    That is so for one small file only. A large table has many more tasks, and is not shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
-
-
 def size_band(size: Column) -> Column:
     return (
         F.when(size <= 10, "S")
@@ -59,8 +50,12 @@ def _line_id() -> Column:
 
 
 def _unit_price() -> Column:
+    """Null for a quantity of 0. Lines that are no sale stay in; the quality gate tells of them."""
     return F.round(
-        F.col("l_extendedprice").cast("decimal(12,2)") / F.col("l_quantity").cast("decimal(10,0)"),
+        F.try_divide(
+            F.col("l_extendedprice").cast("decimal(12,2)"),
+            F.col("l_quantity").cast("decimal(10,0)"),
+        ),
         2,
     ).cast("decimal(10,2)")
 
@@ -72,9 +67,7 @@ def retail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     map-side, the narrow rows shuffle, and the joins that follow are plain enough for Spark to
     split a skewed key. Neither joined table is forced to broadcast; both grow with the data.
     """
-    lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber").filter(
-        "l_quantity > 0 AND l_extendedprice > 0"
-    )
+    lines = table(spark, sf_dir, "lineitem")
     lines = keep_first(lines, ["l_orderkey", "l_linenumber"], LINE_ORDER)
     lines = keep_first(lines, ["l_orderkey", "l_partkey", "l_quantity"], LINE_ORDER)
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
@@ -106,11 +99,9 @@ def retail_text(
     ``_row`` orders the copies of a line by content; the place in the file makes it unique.
     ``lines`` may be a stream of ``lineitem``.
     """
-    batch = lines is None
-    lines = table(spark, sf_dir, "lineitem") if batch else lines
+    lines = table(spark, sf_dir, "lineitem") if lines is None else lines
     place = F.struct("_metadata.file_path", "_metadata.row_index")
     lines = lines.withColumn("place", place)
-    lines = spread(lines, "l_orderkey", "l_linenumber") if batch else lines
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_type", *[
         c.alias(n) for n, c in _product_columns().items() if n != "item_category"
@@ -157,7 +148,7 @@ def event_lines(events: DataFrame) -> DataFrame:
         title_case(kind).alias("item_category"),
         kind.alias("item_ingredients"),
         F.concat(F.lit("The "), title_case(kind), F.lit(" Item")).alias("item_name"),
-    ).filter("unit_price > 0")
+    )
 
 
 def counter_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -104,17 +104,29 @@ def _revenue(tables: dict[str, DataFrame]):
     return tables["fact_order_items"].agg(sum_money(F.col("total_price"))).first()[0]
 
 
-def current_run(spark: SparkSession, root: str) -> str:
+def _manifest(spark: SparkSession, root: str) -> DataFrame:
     try:
-        manifest = spark.read.schema(MANIFEST).parquet(f"{root}/manifest")
+        return spark.read.schema(MANIFEST).parquet(f"{root}/manifest")
     except AnalysisException as e:
-        raise FileNotFoundError(f"nothing published under {root}") from e
-    return manifest.agg(F.max_by("run", F.struct("published_at", "run"))).first()[0]
+        if "PATH_NOT_FOUND" in (e.getCondition() or ""):
+            raise FileNotFoundError(f"nothing published under {root}") from e
+        raise
+
+
+def current_run(spark: SparkSession, root: str) -> str:
+    newest = F.max_by("run", F.struct("published_at", "run"))
+    return _manifest(spark, root).agg(newest).first()[0]
 
 
 def read_published(spark: SparkSession, root: str, noun: str = "item") -> dict[str, DataFrame]:
-    folder = f"{root}/runs/{current_run(spark, root)}"
-    return {name: read_table(spark, folder, name, noun) for name in LOAD_ORDER}
+    """The tables of the current run; ``rejected_rows`` is there if the run had raw rows."""
+    run = current_run(spark, root)
+    rows = _manifest(spark, root).filter(F.col("run") == run).select("table").collect()
+    names = {r["table"] for r in rows}
+    return {
+        name: read_table(spark, f"{root}/runs/{run}", name, noun)
+        for name in LOAD_ORDER if name in names
+    }
 
 
 def load_jdbc(

@@ -10,11 +10,17 @@ from pyspark.sql.streaming import DataStreamWriter
 from tillstar.session import shared_dir
 
 
-def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A stream of the files of one table."""
-    file = f"{name}.parquet"
-    schema = spark.read.parquet(f"{sf_dir}/{file}").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", file).parquet(sf_dir)
+def file_by_file(parts: list[DataFrame], folder: str) -> DataFrame:
+    """A stream that takes one of ``parts`` for each micro-batch, in the given order.
+
+    They are written as one file each, one after the other, as a file stream goes by file times.
+    """
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(folder)
+    spark = parts[0].sparkSession
+    return (
+        spark.readStream.schema(parts[0].schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    )
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
