@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstar.functions.money import money
 from tillstar.functions.text import title_case, with_clean_text
-from tillstar.operators import history, profiling, quality, quarantine
+from tillstar.operators import dimensions, history, profiling, quality, quarantine
 from tillstar.operators.groups import keep_first
 from tillstar.plans import analyst, insights, measures, views
 from tillstar.plans.measures import SliceSpec
-from tillstar.plans.star import Star, star_from_csv, star_of
+from tillstar.plans.star import Star, register_views, star_from_csv, star_of, view
 from tillstar.schemas import DAY_PARTS, RAW_COLUMNS
 from tillstar.sources import tables as src
 from tillstar.sources import warehouse
@@ -183,6 +184,62 @@ def _load_verification(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _loaded_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums over the published tables as read back, so that more than the row counts must agree."""
+    star = star_of(spark, sf_dir, "retail")
+    root = new_folder(spark, "warehouse")
+    warehouse.publish(star.tables(), root)
+    loaded = warehouse.read_published(spark, root)
+    sums = {
+        "dim_date": "sum(date_key)", "dim_time": "sum(time_key * hour_24)",
+        "dim_item": "sum(item_key * ingredient_count)",
+        "dim_ingredient": "sum(ingredient_key * length(ingredient_name))",
+        "bridge_item_ingredient": "sum(item_key * 1000 + ingredient_key)",
+        "fact_order_items": "sum(order_item_id + item_key * quantity)",
+    }
+    parts = [
+        loaded[name].select(F.expr(e).cast("bigint").alias("content"))
+        .select(F.lit(name).alias("table"), "content") for name, e in sums.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _view_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A view as a BI tool gets it: by its registered name, sorted."""
+    register_views(star_of(spark, sf_dir, "retail"))
+    return view(spark, "vw_monthly_trend", "year_month")
+
+
+def _extract_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The extract of a view, read back from its CSV files."""
+    trend = views.VIEWS["vw_monthly_trend"](star_of(spark, sf_dir, "retail"))
+    folder = new_folder(spark, "extracts")
+    warehouse.export_csv({"vw_monthly_trend": trend}, folder)
+    reader = spark.read.schema(trend.schema).option("header", True)
+    return reader.csv(f"{folder}/vw_monthly_trend")
+
+
+def _recipe_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Meat and cheese flags, with meat in every fifth recipe and cheese in every seventh."""
+    part = F.regexp_extract("item_name_id", r"_(\d+)_", 1).cast("int")
+    lines = src.retail_lines(spark, sf_dir).withColumn("item_ingredients", F.concat(
+        "item_ingredients",
+        F.when(part % 5 == 0, ", hAM").otherwise(""),
+        F.when(part % 7 == 0, ",CHEESE ").otherwise(""),
+    ))
+    items = dimensions.item_dimension(
+        dimensions.item_attributes(lines, size_suffix=src.RETAIL_SUFFIX)
+    )
+    names = dimensions.ingredient_dimension(dimensions.recipe_parts(items))
+    return items.select(
+        F.col("item_name_id").alias("name"), "ingredient_count",
+        F.col("is_vegetarian").alias("flag"),
+    ).unionByName(names.select(
+        F.col("ingredient_name").alias("name"), F.lit(1).alias("ingredient_count"),
+        F.col("is_cheese").alias("flag"),
+    ))
+
+
 # --- quality ---------------------------------------------------------------------------------
 
 
@@ -269,7 +326,11 @@ QUERIES: dict[str, Query] = {
     "fact_order_items": _retail(lambda s: s.fact_order_items),
     "order_context": _retail(_order_context),
     "scd2_product": _scd2,
+    "recipe_flags": _recipe_flags,
     "write_star": _write_star,
+    "loaded_content": _loaded_content,
+    "view_by_name": _view_by_name,
+    "extract_read_back": _extract_read_back,
     "load_verification": _load_verification,
     # views
     "fact_enriched": _retail(views.fact_enriched),

@@ -68,31 +68,51 @@ def rank_from_top(
 
     ``rows`` is an upper bound of the row count. ``running`` maps output name to summed column,
     row by row in (value, tie) order; ``running_with_ties`` sums ``value`` up to and including all
-    rows of equal value. Ranges are cut on ``value`` alone, so equal values stay together.
+    rows of equal value.
+
+    What equal values share is worked out on distinct values with their counts and sums, and joined
+    back. What tells rows apart is cut into ranges of (value, tie). So rows of equal value may be
+    any part of all without meeting in one task.
     """
+    out = df
     running = running or {}
     down = F.col(value).desc()
-    ranged = _in_ranges(df, [down], rows, limit)
-    totals = {"_rows": F.count("*"), "_total": F.sum(value)}
-    if dense_rank:
-        totals["_values"] = F.countDistinct(value)
-    totals |= {f"_sum_{n}": F.sum(c) for n, c in running.items()}
-    shifted = _with_offsets(ranged, totals, rows <= limit)
-    ties = Window.partitionBy("_range").orderBy(down)
-    each = Window.partitionBy("_range").orderBy(down, *tie)
-    so_far = each.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    new: dict[str, Column] = {}
-    if rank:
-        new[rank] = (F.rank().over(ties) + F.col("_rows")).cast("bigint")
-    if dense_rank:
-        new[dense_rank] = (F.dense_rank().over(ties) + F.col("_values")).cast("bigint")
-    if position:
-        new[position] = (F.row_number().over(each) + F.col("_rows")).cast("bigint")
-    for name, summed in running.items():
-        new[name] = F.sum(summed).over(so_far) + F.col(f"_sum_{name}")
-    if running_with_ties:
-        new[running_with_ties] = F.sum(value).over(ties) + F.col("_total")
-    return shifted.withColumns(new).drop("_range", *totals)
+    if position or running:
+        ranged = _in_ranges(out, [down, *[F.col(c) for c in tie]], rows, limit)
+        totals = {"_rows": F.count("*")}
+        totals |= {f"_sum_{n}": F.sum(c) for n, c in running.items()}
+        shifted = _with_offsets(ranged, totals, rows <= limit)
+        each = Window.partitionBy("_range").orderBy(down, *tie)
+        so_far = each.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        new: dict[str, Column] = {}
+        if position:
+            new[position] = (F.row_number().over(each) + F.col("_rows")).cast("bigint")
+        for name, summed in running.items():
+            new[name] = F.sum(summed).over(so_far) + F.col(f"_sum_{name}")
+        out = shifted.withColumns(new).drop("_range", *totals)
+    if rank or dense_rank or running_with_ties:
+        sum_type = df.select(F.sum(value).alias("s")).schema["s"].dataType
+        values = df.groupBy(F.col(value).alias("_value")).agg(
+            F.count("*").alias("_n"), F.sum(value).alias("_sum")
+        )
+        top = F.col("_value").desc()
+        ranged = _in_ranges(values, [top], rows, limit)
+        totals = {"_rows": F.sum("_n"), "_total": F.sum("_sum"), "_values": F.count("*")}
+        shifted = _with_offsets(ranged, totals, rows <= limit)
+        place = Window.partitionBy("_range").orderBy(top)
+        to_here = place.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        new = {}
+        if rank:
+            above = F.sum("_n").over(to_here) - F.col("_n") + F.col("_rows")
+            new[rank] = (above + 1).cast("bigint")
+        if dense_rank:
+            new[dense_rank] = (F.row_number().over(place) + F.col("_values")).cast("bigint")
+        if running_with_ties:
+            total = F.sum("_sum").over(to_here) + F.col("_total")
+            new[running_with_ties] = total.cast(sum_type)
+        ranked = shifted.withColumns(new).select("_value", *new)
+        out = out.join(ranked, F.col(value).eqNullSafe(F.col("_value"))).drop("_value")
+    return out
 
 
 def weighted_quantiles(

@@ -66,6 +66,12 @@ f AS (SELECT l_orderkey * 10 + l_linenumber AS order_item_id, l_orderkey AS orde
     {_UNIT} AS uc, {_UNIT} * {_QTY} AS tc, {_EXT} AS src
   FROM s9 JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey)"""
 
+_PLANTED = _RETAIL.replace(
+    "replace(p_name, ' ', ', ')",
+    "replace(p_name, ' ', ', ') || CASE WHEN p_partkey % 5 = 0 THEN ', hAM' ELSE '' END "
+    "|| CASE WHEN p_partkey % 7 = 0 THEN ',CHEESE ' ELSE '' END",
+)
+
 _KEY = "CAST(strftime(CAST(ts AS DATE), '%Y%m%d') AS BIGINT)"
 _EVENTS = f"""e AS (SELECT event_id AS order_item_id, user_id * 100000000 + {_KEY} AS order_id,
     CAST(ts AS DATE) AS d, CAST(ts AS TIMESTAMP) AS ts, hour(ts) AS hr, event_type || '_m' AS name_id,
@@ -521,6 +527,19 @@ f AS (SELECT ok * 10 + ln AS order_item_id, ok AS order_id, d, CAST(d AS TIMESTA
     WHERE n = 1 OR puc IS DISTINCT FROM uc OR pcat IS DISTINCT FROM cat
       OR psz IS DISTINCT FROM sz OR precipe IS DISTINCT FROM recipe
     WINDOW w AS (PARTITION BY name_id ORDER BY day)"""),
+    "recipe_flags": f"""WITH {_PLANTED}{_ITEMS}
+    SELECT name_id AS name, CAST(len(string_split(recipe, ',')) AS INTEGER) AS ingredient_count,
+      NOT regexp_matches(lower(recipe), '{_MEAT}') AS flag FROM item
+    UNION ALL SELECT ingredient, 1, is_cheese FROM ingr""",
+    "loaded_content": _retail(_ITEMS + _CAL, f"""SELECT 'dim_date' AS "table",
+      {_big("sum(CAST(strftime(d, '%Y%m%d') AS INTEGER))")} AS content FROM cal
+    UNION ALL SELECT 'dim_time', {_big('sum(range * range)')} FROM range(24)
+    UNION ALL SELECT 'dim_item', {_big("sum(item_key * len(string_split(recipe, ',')))")} FROM item
+    UNION ALL SELECT 'dim_ingredient', {_big('sum(ingredient_key * length(ingredient))')} FROM ingr
+    UNION ALL SELECT 'bridge_item_ingredient', {_big('sum(item_key * 1000 + ingredient_key)')}
+      FROM link JOIN ingr USING (ingredient)
+    UNION ALL SELECT 'fact_order_items', {_big('sum(order_item_id + item_key * qty)')}
+      FROM f JOIN item USING (name_id)"""),
     "write_star": _retail(
         _ITEMS + _CAL, f'SELECT "table", n AS rows FROM ({_TABLE_COUNTS})'
     ),
@@ -787,3 +806,4 @@ f AS (SELECT ok * 10 + ln AS order_item_id, ok AS order_id, d, CAST(d AS TIMESTA
     "stream_quarantine": _judged("""SELECT coalesce(reject_reason, 'accepted') AS outcome,
     count(*) AS rows FROM j GROUP BY 1"""),
 }
+ORACLES["view_by_name"] = ORACLES["extract_read_back"] = ORACLES["monthly_trend"]
