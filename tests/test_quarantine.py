@@ -90,7 +90,7 @@ def test_reading_a_file_with_another_noun(spark, write_csv, tmp_path):
 
 def test_missing_columns_are_named(spark, write_csv, tmp_path):
     path = write_csv(tmp_path / "r.csv", [{}], columns=["item_id", "order_id"])
-    with pytest.raises(ValueError, match="missing expected columns.*item_category.*unit_price"):
+    with pytest.raises(ValueError, match="lack.*unit_price.*item_category"):
         read_raw_csv(spark, path)
 
 
