@@ -6,6 +6,8 @@ does not depend on how an engine divides decimals.
 
 from __future__ import annotations
 
+from tillstar.schemas import CHEESE_WORDS, MEAT_WORDS
+
 
 def _money(cents: str) -> str:
     return f"CAST(CAST(({cents}) AS DECIMAL(28,0)) * 0.01::DECIMAL(3,2) AS DECIMAL(18,2))"
@@ -100,7 +102,7 @@ item AS (SELECT row_number() OVER (ORDER BY code, {_SIZE_ORDER}, name_id) AS ite
 link AS (SELECT DISTINCT item_key, upper(left(w, 1)) || lower(substr(w, 2)) AS ingredient
   FROM (SELECT item_key, trim(unnest(string_split(recipe, ','))) AS w FROM item) WHERE w <> ''),
 ingr AS (SELECT row_number() OVER (ORDER BY ingredient) AS ingredient_key, ingredient,
-    regexp_matches(lower(ingredient), 'cheese|mozzarella|provolone|gouda|romano|feta|ricotta|asiago|parmigiano|goat') AS is_cheese
+    regexp_matches(lower(ingredient), '{'|'.join(CHEESE_WORDS)}') AS is_cheese
   FROM (SELECT DISTINCT ingredient FROM link))"""
 
 _CAL = """,
@@ -229,10 +231,7 @@ _TIME_ROW = f"""CAST(hr AS INTEGER) AS time_key, CAST(hr AS INTEGER) AS hour_24,
     (CASE WHEN hr % 12 = 0 THEN 12 ELSE hr % 12 END) || CASE WHEN hr < 12 THEN ' AM' ELSE ' PM' END AS hour_12,
     {_PART} AS day_part, {_PART} IN ('Lunch', 'Dinner') AS is_peak_window"""
 
-_MEAT = (
-    "chicken|ham|bacon|pepperoni|salami|beef|prosciutto|capocollo|soppressata|nduja|anchov|"
-    "calabrese|chorizo|sausage|barbecued chicken"
-)
+_MEAT = "|".join(MEAT_WORDS)
 
 _FACT = f"""SELECT order_item_id, order_id, CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key,
     CAST(hr AS INTEGER) AS time_key, item_key, ts AS order_ts, qty AS quantity,
@@ -325,48 +324,50 @@ def _checks() -> str:
     """(check, severity, bad_count, text) of the gate."""
     rows = [
         ("fact primary key is unique", "error",
-         "SELECT count(*) - count(DISTINCT order_item_id) FROM f", "duplicate order_item_id"),
+         "SELECT count(*) - count(DISTINCT order_item_id) FROM f", "repeated line keys"),
         ("no null foreign keys in fact", "error",
          "SELECT count(*) FROM f WHERE order_item_id IS NULL OR order_id IS NULL OR d IS NULL OR hr IS NULL OR name_id IS NULL",
-         "null key values in fact table"),
+         "keys left empty in order lines"),
         ("fact -> dim_item referential integrity", "error",
          "SELECT count(DISTINCT name_id) FROM f WHERE name_id NOT IN (SELECT name_id FROM item)",
-         "item_key values not in dim_item"),
+         "item keys without a item"),
         ("fact -> dim_date referential integrity", "error",
          "SELECT count(DISTINCT d) FROM f WHERE d NOT IN (SELECT d FROM cal)",
-         "date_key values not in dim_date"),
+         "days that the calendar lacks"),
         ("fact -> dim_time referential integrity", "error",
          "SELECT count(DISTINCT hr) FROM f WHERE hr NOT BETWEEN 0 AND 23",
-         "time_key values not in dim_time"),
+         "hours that the day lacks"),
         ("dim_date has no gaps", "error",
          "SELECT count(*) FROM (SELECT d - lag(d) OVER (ORDER BY d) AS step FROM cal) WHERE step <> 1",
-         "gaps in dim_date"),
+         "breaks between calendar days"),
         ("all measures are positive", "error",
          "SELECT count(*) FROM f WHERE qty <= 0 OR uc <= 0 OR tc <= 0",
-         "rows with a non-positive measure"),
+         "lines whose quantity, price or amount is not above zero"),
         ("revenue = unit_price x quantity", "error",
          "SELECT count(*) FROM f WHERE abs(uc * qty - tc) > 1",
-         "rows where unit_price x quantity != total_price"),
+         "lines whose amount is not price times quantity"),
         ("order totals reconcile to line items", "error",
          "SELECT count(*) FROM (SELECT order_id, sum(tc) AS a, min(v) AS v FROM (SELECT order_id, tc, "
          "sum(tc) OVER (PARTITION BY order_id) AS v FROM f) GROUP BY order_id) WHERE abs(a - v) > 1",
-         "orders where order_total_value != sum of line totals"),
+         "orders whose stored total is not that of their lines"),
         ("dim_item natural key is unique", "error",
          "SELECT count(*) - count(DISTINCT name_id) FROM item",
-         "duplicate item_name_id in dim_item"),
+         "repeated item_name_id"),
         ("ingredient bridge has no orphans", "error",
          "SELECT count(*) FROM link WHERE item_key NOT IN (SELECT item_key FROM item) OR ingredient NOT IN (SELECT ingredient FROM ingr)",
-         "orphan keys in bridge_item_ingredient"),
+         "recipe links to nowhere"),
         ("item_category domain is closed", "warning",
          f"SELECT count(DISTINCT cat) FROM item WHERE cat NOT IN {_DOMAIN}",
-         "unexpected categories"),
+         f"SELECT 'outside the domain: ' || string_agg(cat, ', ' ORDER BY cat) "
+         f"FROM (SELECT DISTINCT cat FROM item WHERE cat NOT IN {_DOMAIN})"),
         ("unit price is stable per product", "warning",
          "SELECT count(*) FROM item WHERE hi - lo > 1",
-         "products sold at more than one unit price"),
-        ("rejection rate below 1%", "warning", "SELECT 0", "rejected rows, 1% or more of all"),
+         "products with more than one price"),
+        ("rejection rate below 1%", "warning", "SELECT 0", "raw rows turned away, one in a hundred or more"),
     ]
     return " UNION ALL ".join(
-        f"SELECT '{c}' AS \"check\", '{s}' AS severity, {_big(f'({q})')} AS bad_count, '{t}' AS text"
+        f"SELECT '{c}' AS \"check\", '{s}' AS severity, {_big(f'({q})')} AS bad_count, "
+        + (f"({t})" if t.startswith("SELECT") else f"'{t}'") + " AS text"
         for c, s, q, t in rows
     )
 

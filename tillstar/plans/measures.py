@@ -65,7 +65,7 @@ _RATIOS = {
 
 MEASURES = ["revenue", "items_sold", "orders", "trading_days", *_RATIOS]
 
-# Display names of the metric switch.
+# Display names of the metric switch.
 METRIC_NAMES = {
     "Revenue": "revenue",
     "Orders": "orders",

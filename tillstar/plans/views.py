@@ -45,6 +45,7 @@ def total_of(df: DataFrame, c: str) -> Column:
 
 
 def fact_enriched(star: Star) -> DataFrame:
+    # The columns of the view.
     return enriched(star).select(
         "order_item_id", "order_id", "order_ts",
         "full_date", "year", "quarter_name", "year_month", "month_name", "month_number",

@@ -102,6 +102,7 @@ def _table(*columns: tuple[str, T.DataType]) -> T.StructType:
 
 _INT, _LONG, _TEXT, _BOOL = T.IntegerType(), T.LongType(), T.StringType(), T.BooleanType()
 
+# The columns of the published tables.
 TABLES: dict[str, T.StructType] = {
     "dim_date": _table(
         ("date_key", _INT), ("full_date", T.DateType()), ("year", _INT), ("quarter", _INT),
