@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.llm import bpe, chat, decontaminate, fingerprints, lines, quality, simhash, spans, suffixes, toxicity
+from tillstar.llm import (
+    bpe, chat, decontaminate, fingerprints, lines, quality, simhash, spans, suffixes, toxicity,
+)
 from tillstar.llm.tables import documents, hex_sha256, table
 from tillstar.llm.training import fold
 
