@@ -112,7 +112,7 @@ def test_large_groups_give_the_same_star(lines, tmp_path):
         folder = str(tmp_path / name)
         return build_star(lines(*rows), lambda df, n: staged(df, folder, n), **options)
 
-    plain, split = build("plain"), build("split", hot_rows=5, one_task_rows=3)
+    plain, split = build("plain"), build("split", one_task_rows=3)
     for name, df in plain.tables().items():
         assert sorted(map(str, df.collect())) == sorted(map(str, split.tables()[name].collect()))
 

@@ -7,24 +7,20 @@ from pyspark.sql import functions as F
 
 from tillstar.functions.calendar import date_key
 from tillstar.operators.dimensions import typed
-from tillstar.operators.groups import HOT_ROWS, with_totals
+from tillstar.operators.groups import with_totals
 
 
-def order_context(
-    lines: DataFrame, line_id: str = "order_item_id", hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def order_context(lines: DataFrame) -> DataFrame:
     """Lines, units and value of the whole order on each of its lines."""
     totals = {
         "order_line_count": F.count("*"),
         "order_item_count": F.sum("quantity"),
         "order_total_value": F.sum("total_price"),
     }
-    return with_totals(lines, ["order_id"], totals, [line_id], hot_rows)
+    return with_totals(lines, ["order_id"], totals)
 
 
-def fact_order_items(
-    lines: DataFrame, items: DataFrame, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def fact_order_items(lines: DataFrame, items: DataFrame) -> DataFrame:
     """Surrogate keys and order context on every line; text stays in the dimensions.
 
     The order context comes first: it then counts orders on the lines as written, not on a join.
@@ -42,7 +38,7 @@ def fact_order_items(
         "total_price_source",
         "price_variance_flag",
     )
-    keyed = order_context(narrow, hot_rows=hot_rows).join(
+    keyed = order_context(narrow).join(
         items.select("item_key", "item_name_id"), "item_name_id", "left"
     )
     return typed(keyed, "fact_order_items")

@@ -1,30 +1,20 @@
-"""Groups of any size: a key that holds a large share of all rows is spread over many tasks.
+"""Groups of any size: no key, however frequent, has to be one task's work.
 
-A window needs all rows of its partition in one task. That is fine for ordinary keys and fatal for
-a key that holds a third of the table. Here such keys are found first by a count that is combined
-before it is shuffled; there can be no more than ``rows / HOT_ROWS`` of them, so the list is small
-enough to broadcast by construction. Rows of hot keys are then spread, and what the window would
-have told them comes from a pre-aggregated total instead.
+What a group's rows need to know of their group is a pre-combined aggregate that is joined back.
+Spark splits the keys of such a join that are too frequent; a window could not be split.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_ROWS = 1_000_000
-SPREAD = 1024
-
 
 def _same(keys: list[str], left: DataFrame, right: DataFrame, suffix: str) -> Column:
-    condition = F.lit(True)
-    for k in keys:
-        condition = condition & left[k].eqNullSafe(right[k + suffix])
-    return condition
-
-
-def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    return df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows).drop("_n")
+    return reduce(and_, [left[k].eqNullSafe(right[k + suffix]) for k in keys])
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -37,67 +27,27 @@ def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return df.withColumn("_n", F.row_number().over(window)).filter(F.col("_n") == 1).drop("_n")
 
 
-def with_totals(
-    df: DataFrame,
-    keys: list[str],
-    totals: dict[str, Column],
-    spread_by: list[str],
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Put group totals on every row of the group.
-
-    ``spread_by`` names columns that differ between the rows of a group.
-    """
-    hot = hot_keys(df, keys, hot_rows)
-    hot_totals = (
-        df.join(F.broadcast(hot), keys, "left_semi")
-        .groupBy(*keys)
-        .agg(*[c.alias(f"{n}_hot") for n, c in totals.items()], F.lit(True).alias("_hot"))
-        .withColumnsRenamed({k: f"{k}_hot" for k in keys})
+def with_totals(df: DataFrame, keys: list[str], totals: dict[str, Column]) -> DataFrame:
+    """Put group totals on every row of the group; null keys are a group too."""
+    sums = df.groupBy(*[F.col(k).alias(f"{k}_of") for k in keys]).agg(
+        *[c.alias(n) for n, c in totals.items()]
+    )
+    return df.join(sums, _same(keys, df, sums, "_of"), "left").select(
+        *[df[c] for c in df.columns], *totals
     )
-    marked = df.join(F.broadcast(hot_totals), _same(keys, df, hot_totals, "_hot"), "left")
-    spread = F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread_by), F.lit(SPREAD))).otherwise(-1)
-    window = Window.partitionBy(*keys, "_spread")
-    out = marked.withColumn("_spread", spread)
-    for name, total in totals.items():
-        out = out.withColumn(name, F.coalesce(F.col(f"{name}_hot"), total.over(window)))
-    return out.select(*df.columns, *totals)
 
 
 def mark_repeats(
-    df: DataFrame,
-    keys: list[str],
-    order: str,
-    live: Column,
-    out: str,
-    hot_rows: int = HOT_ROWS,
+    df: DataFrame, keys: list[str], order: str, live: Column, out: str
 ) -> DataFrame:
     """Flag every live row that is not the first of its key group.
 
-    ``order`` must be unique per row. Rows that are not live are never flagged and never count;
-    they are spread as well, because rows without a usable key all share one.
+    ``order`` must be unique per row. Rows that are not live are never flagged and never count.
     """
     base = df.withColumn("_live", live)
-    alive = base.filter("_live")
-    hot = hot_keys(alive, keys, hot_rows)
-    hot_first = (
-        alive.join(F.broadcast(hot), keys, "left_semi")
-        .groupBy(*keys)
-        .agg(F.min(order).alias("_first"))
-        .withColumnsRenamed({k: f"{k}_hot" for k in keys})
-    )
-    marked = base.join(F.broadcast(hot_first), _same(keys, base, hot_first, "_hot"), "left")
-    settled = ~F.col("_live") | F.col("_first").isNotNull()
-    spread = F.when(settled, F.pmod(F.xxhash64(order), F.lit(SPREAD))).otherwise(-1)
-    place = F.row_number().over(Window.partitionBy(*keys, "_spread").orderBy(order))
-    repeat = (
-        F.when(~F.col("_live"), False)
-        .when(F.col("_first").isNotNull(), F.col(order) != F.col("_first"))
-        .otherwise(F.col("_place") > 1)
-    )
-    return (
-        marked.withColumn("_spread", spread)
-        .withColumn("_place", place)
-        .withColumn(out, repeat)
-        .select(*df.columns, out)
+    first = base.filter("_live").groupBy(*[F.col(k).alias(f"{k}_of") for k in keys]).agg(
+        F.min(order).alias("_first")
     )
+    marked = base.join(first, base["_live"] & _same(keys, base, first, "_of"), "left")
+    repeat = F.coalesce(F.col(order) != F.col("_first"), F.lit(False))
+    return marked.withColumn(out, repeat).select(*df.columns, out)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tillstar.functions.calendar import is_strict_time, strict_date, timestamp_of
 from tillstar.functions.money import amount, differs
 from tillstar.functions.text import title_case, with_clean_text
-from tillstar.operators.groups import HOT_ROWS, keep_first, mark_repeats
+from tillstar.operators.groups import keep_first, mark_repeats
 from tillstar.schemas import RAW_COLUMNS, SIZE_ORDER
 
 TEXT_COLUMNS = ["item_name_id", "item_size", "item_category", "item_ingredients", "item_name"]
@@ -91,7 +91,6 @@ def judge_lines(
     raw: DataFrame,
     order: str = "_row",
     noun: str = "item",
-    hot_rows: int = HOT_ROWS,
     stage: Callable[[DataFrame, str], DataFrame] | None = None,
     known: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
@@ -112,7 +111,7 @@ def judge_lines(
             keys = keys.join(seen, columns, "left").withColumn(
                 "reject_reason", F.coalesce("reject_reason", "_seen")
             ).drop("_seen")
-        marked = mark_repeats(keys, columns, order, alive, "_repeat", hot_rows)
+        marked = mark_repeats(keys, columns, order, alive, "_repeat")
         keys = marked.withColumn(
             "reject_reason", F.when(F.col("_repeat"), reason).otherwise(F.col("reject_reason"))
         ).drop("_repeat")

@@ -82,6 +82,16 @@ def measure(lines: DataFrame, names: Iterable[str], by: Iterable[str] = ()) -> D
         raise ValueError(f"unknown measures: {unknown}")
     base = _base()
     needed = [b for b in base if b in names or any(b in _RATIOS.get(n, ())[:2] for n in names)]
+    if {"orders", "trading_days"} <= set(needed):
+        # Two distinct counts copy each row, so lines are summed up to orders of a day first.
+        sums = {"revenue": "_money", "items_sold": "_units"}
+        kept = {b: c for b, c in sums.items() if b in needed}
+        lines = lines.groupBy(*by, "date_key", "order_id").agg(
+            *[base[b].alias(c) for b, c in kept.items()]
+        )
+        base |= {b: F.sum(c) for b, c in kept.items()}
+        if "revenue" in kept:
+            base["revenue"] = money(base["revenue"])
     grouped = lines.groupBy(*by).agg(*[base[b].alias(b) for b in needed])
     out = [
         ratio(F.col(_RATIOS[n][0]), F.col(_RATIOS[n][1]), _RATIOS[n][2]).alias(n)

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from tillstar.operators import dimensions as dim
 from tillstar.operators.facts import fact_order_items, require_no_orphans
-from tillstar.operators.groups import HOT_ROWS
 from tillstar.operators.ordered import ONE_TASK_ROWS
 from tillstar.operators.quarantine import good_lines, judge_lines
 from tillstar.operators.quarantine import rejected_rows as quarantined
@@ -57,7 +56,6 @@ def build_star(
     stage: Stage,
     noun: str = "item",
     size_suffix: str = dim.SIZE_SUFFIX,
-    hot_rows: int = HOT_ROWS,
     one_task_rows: int = ONE_TASK_ROWS,
 ) -> Star:
     """Dimensions and fact from clean lines.
@@ -72,7 +70,7 @@ def build_star(
     parts = stage(dim.recipe_parts(items), "recipe_parts")
     names = parts.select("ingredient_name").distinct().count()
     ingredients = stage(dim.ingredient_dimension(parts, names, one_task_rows), "dim_ingredient")
-    fact = stage(fact_order_items(lines, items, hot_rows), "fact_order_items")
+    fact = stage(fact_order_items(lines, items), "fact_order_items")
     require_no_orphans(fact)
     return Star(
         dim_date=stage(dim.date_dimension(lines), "dim_date"),
