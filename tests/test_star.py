@@ -212,7 +212,7 @@ def test_quality_gate(star):
         assert got[check].status == want and got[check].detail, check
     many = {r.check: r.status for r in quality.quality_report(s.tables(), 1).collect()}
     assert many["rejection rate below 1%"] == "WARN"
-    with pytest.raises(RuntimeError, match="fact primary key is unique: 2 duplicate"):
+    with pytest.raises(RuntimeError, match="fact primary key is unique: 2 repeated"):
         quality.require_quality(
             quality.quality_report(broken(s, "fact_order_items", lambda d: d.unionByName(d)), 0))
 
