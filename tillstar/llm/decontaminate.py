@@ -24,7 +24,7 @@ _WORD_BYTES = bytes(
 )
 
 SCANNED = (
-    "doc_id bigint, _row bigint, n_words bigint, hit_words array<int>, items array<string>, "
+    "doc_id bigint, text_hash bigint, n_words bigint, hit_words array<int>, items array<string>, "
     "spans array<struct<start:int,stop:int>>"
 )
 
@@ -91,7 +91,7 @@ def scan(text: str | None, automaton: ahocorasick.Automaton | None):
 def _scan_block(docs: DataFrame, items: Broadcast, size: int) -> DataFrame:
     key = uuid.uuid4().hex  # a worker builds the automaton once and keeps it for its next tasks
     schema = pa.schema(
-        [("doc_id", pa.int64()), ("_row", pa.int64()), ("n_words", pa.int64()),
+        [("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_words", pa.int64()),
          ("hit_words", pa.list_(pa.int32())), ("items", pa.list_(pa.string())),
          ("spans", pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())])))]
     )
@@ -105,7 +105,8 @@ def _scan_block(docs: DataFrame, items: Broadcast, size: int) -> DataFrame:
             out = [scan(t, automaton) for t in batch.column("text").to_pylist()]
             spans = [[{"start": a, "stop": b} for a, b in o[3]] for o in out]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("_row"), pa.array([o[0] for o in out], pa.int64()),
+                [batch.column("doc_id"), batch.column("text_hash"),
+                 pa.array([o[0] for o in out], pa.int64()),
                  pa.array([o[1] for o in out], schema.field(3).type),
                  pa.array([o[2] for o in out], schema.field(4).type),
                  pa.array(spans, schema.field(5).type)],
@@ -114,7 +115,8 @@ def _scan_block(docs: DataFrame, items: Broadcast, size: int) -> DataFrame:
 
     return docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
-        F.xxhash64("doc_id", "text").alias("_row"), F.col("text").cast("string").alias("text"),
+        F.xxhash64(F.col("text").cast("string")).alias("text_hash"),
+        F.col("text").cast("string").alias("text"),
     ).mapInArrow(scan_batches, SCANNED)
 
 
@@ -123,8 +125,9 @@ def find_contamination(
 ) -> DataFrame:
     """Words of ``docs`` inside any window of ``size`` words of the test ``items``.
 
-    Returns ``doc_id, n_words, n_hit, items (ids as sorted strings), spans`` for each row; spans
-    are the hit stretches as code point offsets of the original text (within one block of items).
+    Returns ``doc_id, text_hash, n_words, n_hit, items (ids as sorted strings), spans`` for each
+    row; spans are the hit stretches as code point offsets of the original text (within one block
+    of items).
     Null or empty texts have no words. Items without words hit nothing; null ids of items show as
     "null"; equal items all count. Repeated documents give repeated rows.
 
@@ -145,13 +148,14 @@ def find_contamination(
         scans.append(_scan_block(docs, own, size))
     if blocks == 1:
         return scans[0].select(
-            "doc_id", "n_words", F.size("hit_words").cast("bigint").alias("n_hit"), "items", "spans"
+            "doc_id", "text_hash", "n_words", F.size("hit_words").cast("bigint").alias("n_hit"),
+            "items", "spans",
         )
     # Each row of the documents comes once per block; equal rows are kept apart by their number.
     together = scans[0].withColumn("_block", F.lit(0))
     for block, part in enumerate(scans[1:], 1):
         together = together.unionByName(part.withColumn("_block", F.lit(block)))
-    merged = together.groupBy("doc_id", "_row").agg(
+    merged = together.groupBy("doc_id", "text_hash").agg(
         F.first("n_words").alias("n_words"),
         F.count_if(F.col("_block") == 0).alias("_copies"),
         F.array_distinct(F.flatten(F.collect_set("hit_words"))).alias("hit_words"),
@@ -159,7 +163,8 @@ def find_contamination(
         F.sort_array(F.array_distinct(F.flatten(F.collect_set("spans")))).alias("spans"),
     )
     return merged.select(
-        "doc_id", "n_words", F.size("hit_words").cast("bigint").alias("n_hit"), "items", "spans",
+        "doc_id", "text_hash", "n_words", F.size("hit_words").cast("bigint").alias("n_hit"),
+        "items", "spans",
         F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy"),
     ).drop("_copy")
 

@@ -15,21 +15,21 @@ from tillstar.llm.training import fold
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Documents whose id is not in ``ids``, a column ``doc_id``.
-
-    A null id matches a null one: documents without an id cannot be told apart and go together.
-    """
-    gone = ids.select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
+def _judged(docs: DataFrame, verdicts: DataFrame, how: str) -> DataFrame:
+    """Rows of ``docs`` with their own verdict: the one of their id (null too) and their text."""
+    own = verdicts.select(
+        F.col("doc_id").alias("_of"), F.col("text_hash").alias("_hash")
+    ).distinct()
+    same = docs["doc_id"].cast("bigint").eqNullSafe(own["_of"])
+    return docs.join(own, same & (F.xxhash64(docs["text"].cast("string")) == own["_hash"]), how)
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the network scores 0.5 or more go."""
+    """Rows that the network scores 0.5 or more go; others of their id stay."""
     labels = table(spark, sf_dir, "labels")
     network = toxicity.fit(docs, labels, "toxic", fold(F.col("doc_id"), 5) != 0)
     scores = toxicity.score_documents(docs, network)
-    return without_ids(docs, scores.filter("score >= 0.5"))
+    return _judged(docs, scores.filter("score >= 0.5"), "left_anti")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,16 +40,22 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id stays, once."""
+    """Of each group of near-duplicates the row with the smallest id stays, once.
+
+    Rows without an id come after all others; of one id the least hash of the text decides. Groups
+    are told apart by their fingerprints, as an id with several texts may be in several.
+    """
     found = simhash.near_duplicates(docs)
-    gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-    return without_ids(docs, gone).dropDuplicates(["doc_id"])
+    first = F.min(F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "text_hash"))
+    stays = found.groupBy("component").agg(first.alias("s")).select("s.doc_id", "s.text_hash")
+    kept = _judged(docs, stays, "left_semi").withColumn("_hash", F.xxhash64(F.col("text").cast("string")))
+    return kept.dropDuplicates(["doc_id", "_hash"]).drop("_hash")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a window of a benchmark item go."""
+    """Rows that hold a window of a benchmark item go; others of their id stay."""
     found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"))
-    return without_ids(docs, found.filter("n_hit > 0"))
+    return _judged(docs, found.filter("n_hit > 0"), "left_anti")
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

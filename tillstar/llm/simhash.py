@@ -44,18 +44,22 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id, fp`` of every row; ``fp`` has the 64 bits as a signed long."""
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+    """``doc_id, text_hash, fp`` of every row; ``fp`` has the 64 bits as a signed long."""
+    schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("fp", pa.int64())])
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [fingerprint(t, shingle) for t in batch.column("text").to_pylist()]
             bits = np.array(found, np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(bits)], schema=schema)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("text_hash"), pa.array(bits)], schema=schema
+            )
 
     return docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")
-    ).mapInArrow(hashed, "doc_id bigint, fp bigint")
+        F.col("doc_id").cast("bigint").alias("doc_id"),
+        F.xxhash64(F.col("text").cast("string")).alias("text_hash"),
+        F.col("text").cast("string").alias("text"),
+    ).mapInArrow(hashed, "doc_id bigint, text_hash bigint, fp bigint")
 
 
 def _ball(value: Column, bits: int, radius: int) -> Column:
@@ -117,10 +121,10 @@ def near_links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """``doc_id, fp, component_id`` of every row of ``docs``.
+    """``doc_id, text_hash, fp, component, component_id`` of every row of ``docs``.
 
-    Documents with fingerprints within ``max_bits`` differing bits are linked, and a component is
-    named by its smallest id. Null, empty and blank texts have fingerprint zero, like any other.
+    Documents with fingerprints within ``max_bits`` differing bits are linked. ``component`` is the
+    least fingerprint of a component, ``component_id`` its smallest id, which names it. Null, empty and blank texts have fingerprint zero, like any other.
     Rows with a null id count as documents; a component of nothing else has a null name. Equal
     fingerprints are one node, so copies cost nothing; repeated rows repeat.
     """
@@ -130,12 +134,15 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     named = found.join(nodes, found["node"] == nodes["fp"])
     least = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
     grouped = written(
-        named.join(least, "component").select("fp", "component_id"), "component-names"
+        named.join(least, "component").select("fp", "component", "component_id"), "component-names"
     )
     names = nodes.join(grouped, "fp", "left").select(
-        F.col("fp").alias("_fp"), F.coalesce("component_id", "first_id").alias("component_id")
+        F.col("fp").alias("_fp"), F.coalesce("component", "fp").alias("component"),
+        F.coalesce("component_id", "first_id").alias("component_id"),
+    )
+    return own.join(names, F.col("fp") == F.col("_fp")).select(
+        "doc_id", "text_hash", "fp", "component", "component_id"
     )
-    return own.join(names, F.col("fp") == F.col("_fp")).select("doc_id", "fp", "component_id")
 
 
 def hex_fingerprint(fp: Column) -> Column:

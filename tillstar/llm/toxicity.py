@@ -393,14 +393,16 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, learnable: Column) -> Ne
 
 
 def score_documents(docs: DataFrame, network: Network) -> DataFrame:
-    """``doc_id, score`` of every row: the most toxic of all overlapping windows of the text.
+    """``doc_id, text_hash, score`` of every row: the most toxic of all overlapping windows.
 
     Only ``doc_id`` and ``text`` are read, and only ``text`` has a say in the score. Null texts
     and texts without words have one empty window. Nothing is shuffled; repeated rows repeat. The
     network has a fixed size, so what is broadcast does not grow with the data.
     """
     shared = docs.sparkSession.sparkContext.broadcast(network)
-    schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
+    schema = pa.schema(
+        [("doc_id", pa.int64()), ("text_hash", pa.int64()), ("score", pa.float64())]
+    )
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
@@ -408,14 +410,16 @@ def score_documents(docs: DataFrame, network: Network) -> DataFrame:
             texts = batch.column("text").to_pylist()
             parts = [scorer.scores(part) for part in _portions(texts)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"),
+                [batch.column("doc_id"), batch.column("text_hash"),
                  pa.array(np.concatenate(parts) if parts else [], pa.float64())],
                 schema=schema,
             )
 
     return docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")
-    ).mapInArrow(score, "doc_id bigint, score double")
+        F.col("doc_id").cast("bigint").alias("doc_id"),
+        F.xxhash64(F.col("text").cast("string")).alias("text_hash"),
+        F.col("text").cast("string").alias("text"),
+    ).mapInArrow(score, "doc_id bigint, text_hash bigint, score double")
 
 
 def _portions(texts: list[str | None], chars: int = 1_000_000) -> Iterator[list[str | None]]:
