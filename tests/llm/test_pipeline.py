@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from tillstar.llm import pipeline
+from tillstar.llm.training import labelled_sample
 from test_learning import labelled
 
 CLEAN = "a calm walk along the river bank under nine old stone arches"
@@ -51,3 +53,24 @@ def test_toxicity_judges_each_row(spark, docs, tables_at):
     rows = [(None, CLEAN), (None, VILE), (700, VILE), (700, OTHER), (700, OTHER)]
     kept = texts(pipeline.toxicity_filter(spark, docs(*learnt, *rows), folder))
     assert {r: n for r, n in kept.items() if r[0] in (None, 700)} == {(None, CLEAN): 1, (700, OTHER): 2}
+
+
+def test_toxicity_without_labels_keeps_all(spark, docs, tables_at, tmp_path):
+    folder, _ = tables_at
+    spark.read.parquet(f"{folder}/labels.parquet").limit(0).write.parquet(f"{tmp_path}/labels.parquet")
+    rows = [(1, CLEAN), (None, VILE), (2, None)]
+    assert texts(pipeline.toxicity_filter(spark, docs(*rows), str(tmp_path))) == Counter(rows)
+
+
+def test_samples_pass_over_huge_texts(spark):
+    rows = [(i, "x" * (5_000 if i in (0, 1) else 10), i % 2) for i in range(40)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    labels = frame.select("doc_id", "toxic")
+    sample = labelled_sample(frame, labels, "toxic", F.lit(True), chars=1_000)
+    assert Counter(sample) == Counter((t, y) for _, t, y in rows if len(t) == 10)
+    tight = labelled_sample(frame, labels, "toxic", F.lit(True), chars=60)
+    assert Counter(y for _, y in tight) == {0: 4, 1: 2}
+    # a label whose least text exceeds its share may have what the other leaves
+    one = frame.filter("doc_id IN (1, 2)")
+    assert Counter(y for _, y in labelled_sample(one, labels, "toxic", F.lit(True), chars=5_010)) == {0: 1, 1: 1}
+    assert len(labelled_sample(one, labels, "toxic", F.lit(True), chars=5_009)) == 1

@@ -25,9 +25,14 @@ def _judged(docs: DataFrame, verdicts: DataFrame, how: str) -> DataFrame:
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that the network scores 0.5 or more go; others of their id stay."""
+    """Rows that the network scores 0.5 or more go; others of their id stay.
+
+    Without labelled texts of both kinds there is no telling, and all documents stay.
+    """
     labels = table(spark, sf_dir, "labels")
     network = toxicity.fit(docs, labels, "toxic", fold(F.col("doc_id"), 5) != 0)
+    if not network.fitted:
+        return docs
     scores = toxicity.score_documents(docs, network)
     return _judged(docs, scores.filter("score >= 0.5"), "left_anti")
 

@@ -84,6 +84,7 @@ class Network:
     attend: np.ndarray  # (2 * HIDDEN,)
     out: np.ndarray  # (2 * HIDDEN,)
     bias: np.ndarray  # (1,)
+    fitted: bool = True
 
     NAMES = ("words", "chars", "w", "u", "b", "attend", "out", "bias")
 
@@ -326,6 +327,7 @@ def train(rows: list[tuple[str, int]], epochs: int = EPOCHS, seed: int = 5) -> N
     network = Network.fresh(seed)
     if len({label for _, label in rows}) < 2:
         network.out[:] = 0
+        network.fitted = False
         return network
     split = [(network_words(text), label) for text, label in rows]
     network.words[:, 0] = _log_odds(

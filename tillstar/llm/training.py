@@ -25,6 +25,25 @@ def plain_words(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(_WORD_BYTES).split()
 
 
+def _fitting(sizes: list[tuple[int, int, int, int]], chars: int) -> list[int]:
+    """Ids of ``(place, id, label, code points)`` that fit into ``chars``, in order of place."""
+    sizes = sorted(sizes)
+    if sum(n for *_, n in sizes) <= chars:
+        return [i for _, i, _, _ in sizes]
+    taken: set[int] = set()
+    left = 0
+    # each label its own share first, then both what is left
+    for own, share in (({1}, chars // 3), ({0}, chars - chars // 3), ({0, 1}, 0)):
+        left += share
+        room = share if share else left
+        for _, i, label, n in sizes:
+            if i not in taken and label in own and n <= room:
+                taken.add(i)
+                room -= n
+                left -= n
+    return [i for _, i, _, _ in sizes if i in taken]
+
+
 def labelled_sample(
     docs: DataFrame,
     labels: DataFrame,
@@ -36,7 +55,9 @@ def labelled_sample(
     """Whole texts with their labels, ``rows`` at most and ``chars`` code points at most.
 
     A third of the rows may be of label 1, the rest of label 0; ids are taken in the order of
-    their hash, so the sample does not depend on the order of the tables. ``learnable`` filters
+    their hash, so the sample does not depend on the order of the tables. An id whose texts exceed
+    what is left of ``chars`` is passed over. Where not all fit, label 1 has a third of ``chars``
+    and label 0 the rest, then either may have what the other leaves. ``learnable`` filters
     ``labels`` before anything is learnt from them. An id with several labels has the largest.
     """
     spark = docs.sparkSession
@@ -58,14 +79,12 @@ def labelled_sample(
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(
         F.broadcast(wanted), "doc_id"  # ``rows`` rows of three numbers at most
     )
-    sizes = texts.select("place", F.coalesce(F.char_length("text"), F.lit(0)).alias("n")).collect()
-    last, total = None, 0
-    for size in sorted(sizes, key=lambda r: r.place):
-        total += size.n
-        if total > chars:
-            break
-        last = size.place
-    if last is None:
+    sizes = texts.groupBy("doc_id", "label", "place").agg(
+        F.sum(F.coalesce(F.char_length("text"), F.lit(0))).alias("n")
+    ).collect()
+    ids = _fitting([(r.place, r.doc_id, r.label, r.n) for r in sizes], chars)
+    if not ids:
         return []
-    kept = texts.filter(F.col("place") <= last).select("place", "text", "label").collect()
+    chosen = spark.createDataFrame([(i,) for i in ids], "doc_id bigint")
+    kept = texts.join(F.broadcast(chosen), "doc_id").select("place", "text", "label").collect()
     return [(r.text or "", r.label) for r in sorted(kept, key=lambda r: (r.place, r.text or ""))]
