@@ -1,4 +1,4 @@
-"""The ten queries and the pipeline by name, and SQL for those that SQL can express."""
+"""The numbered queries and the pipeline by name, and SQL for those that SQL can express."""
 
 from __future__ import annotations
 
@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstar.llm import (
-    bpe, chat, decontaminate, fingerprints, lines, quality, simhash, spans, suffixes, toxicity,
+    audit, bpe, chat, decontaminate, fingerprints, infill, lines, quality, simhash, spans,
+    suffixes, toxicity, urls,
 )
 from tillstar.llm.tables import documents, hex_sha256, table
 from tillstar.llm.training import fold
@@ -126,6 +127,35 @@ def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = infill.restored(F.col("output"), F.col("form"))
+    return infill.fill_in_middle(documents(spark, sf_dir)).select(
+        "doc_id", F.col("n_units").alias("n"), "form", "prefix_chars", "middle_chars",
+        hex_sha256("output").alias("output_sha256"), hex_sha256(text).alias("restored_sha256"),
+    )
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = audit.failure_counts(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+    return audit.interactions(counts).select(
+        "part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails",
+        "good_lost", "toxic_lost", "shapley",
+    )
+
+
+URL_RULES = [
+    urls.Rule("block", "net", "/"), urls.Rule("allow", "example.net", "/en/"),
+    urls.Rule("block", "example.com", "/de/"), urls.Rule("allow", "org", "/fr/"),
+]
+
+
+def op13_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.judge_urls(pages, URL_RULES).select(
+        "row.page_id", "host", "path", "rule", "verdict", "score"
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_chat_formatting": op2_chat_formatting,
@@ -137,4 +167,7 @@ QUERIES: dict[str, Query] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_quality": op9_quality,
     "op10_sentence_spans": op10_sentence_spans,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_url_filters": op13_url_filters,
 }

@@ -120,3 +120,168 @@ ORACLES: dict[str, str] = {
         FROM documents d LEFT JOIN joined j ON d.doc_id = j.doc_id
     """,
 }
+
+def _url_sql(order: int = 4) -> str:
+    """SQL of the URL filter: gram counts, estimates for each context length, scores, threshold."""
+    models = ("allow_fit", "block_fit", "allow_all", "block_all")
+    sums = ", ".join(f"sum({m})::BIGINT AS {m}" for m in models)
+    totals = ", ".join(
+        f"sum({m})::DOUBLE AS {m}_n, count(*) FILTER ({m} > 0)::DOUBLE AS {m}_kinds" for m in models
+    )
+    levels = []
+    for k in range(order + 1):
+        estimates = ", ".join(
+            f"CASE WHEN c.{m}_n > 0 THEN (g.{m}::DOUBLE + c.{m}_kinds * {{0}}) / (c.{m}_n + c.{m}_kinds) "
+            f"ELSE {{0}} END AS p_{m}".format(f"s.p_{m}" if k else "(1.0::DOUBLE / 256)") for m in models
+        )
+        shorter = f"JOIN level{k - 1} s ON right(g.gram, {k}) = s.gram" if k else ""
+        levels.append(f"""
+        grams{k} AS (
+          SELECT right(gram, {k + 1}) AS gram, {sums} FROM counts GROUP BY 1
+        ), contexts{k} AS (
+          SELECT left(gram, {k}) AS context, {totals} FROM grams{k} GROUP BY 1
+        ), level{k} AS MATERIALIZED (
+          SELECT g.gram, {estimates}
+          FROM grams{k} g JOIN contexts{k} c ON left(g.gram, {k}) = c.context {shorter}
+        )""")
+    return f"""
+        WITH split AS (
+          SELECT page_id, coalesce(url, '') AS u, strpos(coalesce(url, ''), '://') AS mark FROM pages
+        ), rest AS (
+          SELECT *, CASE WHEN mark > 0 THEN substr(u, mark + 3) ELSE '' END AS rest FROM split
+        ), hosts AS (
+          SELECT *, regexp_extract(rest, '^[^/?#]*') AS raw_host FROM rest
+        ), parts AS (
+          SELECT *, {_LOWER.format("raw_host")} AS host,
+            regexp_extract(substr(rest, length(raw_host) + 1), '^[^?#]*') AS path FROM hosts
+        ), rules(verdict, rhost, rpath) AS (
+          VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'),
+                 ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')
+        ), fits AS (
+          SELECT page_id, u, arg_max(rhost || rpath, length(rhost || rpath)) AS rule,
+            arg_max(verdict, length(rhost || rpath)) AS label
+          FROM parts JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost))
+            AND starts_with(path, rpath)
+          GROUP BY page_id, u
+        ), judged AS (
+          SELECT p.page_id, p.host, p.path, f.rule, f.label,
+            CASE WHEN mark > 0 THEN host || substr(rest, length(raw_host) + 1) ELSE p.u END AS address
+          FROM parts p LEFT JOIN fits f ON p.page_id = f.page_id AND p.u = f.u
+        ), addresses AS (
+          SELECT DISTINCT address, label, ('0x' || left(md5(address), 8))::BIGINT % 5 = 0 AS held
+          FROM judged
+        ), positions AS (
+          SELECT address, label, held,
+            substr(repeat(chr(2), {order}) || address || chr(3), i::BIGINT, {order + 1}) AS gram
+          FROM (SELECT *, unnest(range(1, length(address) + 2)) AS i FROM addresses)
+        ), counts AS MATERIALIZED (
+          SELECT gram,
+            count(*) FILTER (label = 'allow' AND NOT held) AS allow_fit,
+            count(*) FILTER (label = 'block' AND NOT held) AS block_fit,
+            count(*) FILTER (label = 'allow') AS allow_all,
+            count(*) FILTER (label = 'block') AS block_all
+          FROM positions GROUP BY gram
+        ), {",".join(levels)}, ratios AS (
+          SELECT gram, round((ln(p_allow_fit) - ln(p_block_fit)) * 1000000)::BIGINT AS fit,
+            round((ln(p_allow_all) - ln(p_block_all)) * 1000000)::BIGINT AS whole FROM level{order}
+        ), scores AS (
+          SELECT address, label, greatest(-20000, least(20000, floor(
+            sum(CASE WHEN label IS NULL THEN whole ELSE fit END)::DOUBLE / (count(*) * 1000)
+          )))::BIGINT AS score
+          FROM positions JOIN ratios USING (gram) WHERE label IS NULL OR held
+          GROUP BY address, label
+        ), bins AS (
+          SELECT score, count(*) FILTER (label = 'allow') AS a, count(*) FILTER (label = 'block') AS b
+          FROM scores WHERE label IS NOT NULL GROUP BY score
+        ), errors AS (
+          SELECT score, sum(a) OVER () AS total_a, sum(b) OVER () AS total_b,
+            coalesce(sum(a) OVER (ORDER BY score ROWS UNBOUNDED PRECEDING), 0) - a AS missed,
+            coalesce(sum(b) OVER (ORDER BY score ROWS UNBOUNDED PRECEDING), 0) - b AS caught
+          FROM bins
+        ), threshold AS (
+          SELECT coalesce((SELECT score FROM errors WHERE total_a > 0 AND total_b > 0
+            ORDER BY missed * total_b + (total_b - caught) * total_a, abs(score), score LIMIT 1), 0) AS t
+        ), taught AS (
+          SELECT bool_or(label = 'allow') AND bool_or(label = 'block') AS teaches FROM judged
+        )
+        SELECT page_id, host, path, rule, CASE WHEN rule IS NULL AND teaches THEN score END AS score,
+          CASE WHEN rule IS NOT NULL THEN j.label WHEN NOT coalesce(teaches, false) THEN 'allow'
+            WHEN score >= t THEN 'allow' ELSE 'block' END AS verdict
+        FROM judged j CROSS JOIN threshold CROSS JOIN taught
+        LEFT JOIN scores s ON j.address = s.address AND s.label IS NULL
+    """
+
+
+ORACLES["op11_fill_in_middle"] = """
+    WITH units AS (
+      SELECT doc_id, coalesce(text, '') AS t,
+        regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+        sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
+    ), dice AS (
+      SELECT *, len(u) AS n, ('0x' || h[1:8])::BIGINT % (len(u) + 1) AS c1,
+        ('0x' || h[9:16])::BIGINT % (len(u) + 1) AS c2,
+        ('0x' || h[17:24])::BIGINT % 100 AS d3, ('0x' || h[25:32])::BIGINT % 100 AS d4 FROM units
+    ), cut AS (
+      SELECT doc_id, t, n,
+        array_to_string(u[1 : least(c1, c2)], '') AS p,
+        array_to_string(u[least(c1, c2) + 1 : greatest(c1, c2)], '') AS m,
+        array_to_string(u[greatest(c1, c2) + 1 : n], '') AS s,
+        CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR d3 >= 90
+          THEN 'plain' WHEN d4 < 20 THEN 'spm' ELSE 'psm' END AS form
+      FROM dice
+    )
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+      CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+      sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+      sha256(t) AS restored_sha256
+    FROM cut
+"""
+
+ORACLES["op12_filter_audit"] = f"""
+    WITH texts AS (
+      SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+        min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first FROM documents
+    ), verdicts AS (
+      SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic
+      FROM labels GROUP BY doc_id
+    ), failing AS (
+      SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+        CASE WHEN len(w) < 100 THEN 'A' ELSE '' END
+        || CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END
+        || CASE WHEN 100 * (length(t) - length(translate(t, '{UPPER}', ''))) > 10 * length(t)
+             THEN 'C' ELSE '' END
+        || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+        || CASE WHEN first < texts.doc_id THEN 'E' ELSE '' END AS fails
+      FROM texts LEFT JOIN verdicts v ON texts.doc_id = v.doc_id
+    ), grouped AS (
+      SELECT part, fails, count(*) AS docs, sum(good) AS good, sum(toxic) AS toxic
+      FROM failing GROUP BY part, fails
+    ), letters(f) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')
+    ), orders AS (
+      SELECT a.f || b.f || c.f || d.f || e.f AS filter_order
+      FROM letters a, letters b, letters c, letters d, letters e
+      WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+    ), steps AS (
+      SELECT filter_order, step::INT AS step, filter_order[step:step] AS f,
+        filter_order[1 : step - 1] AS before
+      FROM (SELECT *, unnest(range(1, 6)) AS step FROM orders)
+    ), met AS (
+      SELECT part, filter_order, step, f, fails, docs, good, toxic, contains(fails, f) AS bad,
+        translate(fails, before, '') <> fails AS gone
+      FROM grouped, steps
+    ), sums AS (
+      SELECT part, filter_order, step, f,
+        coalesce(sum(docs) FILTER (NOT gone AND NOT bad), 0)::BIGINT AS kept,
+        coalesce(sum(docs) FILTER (NOT gone AND bad), 0)::BIGINT AS removed,
+        coalesce(sum(docs) FILTER (gone AND bad), 0)::BIGINT AS redundant,
+        coalesce(sum(docs) FILTER (fails = f), 0)::BIGINT AS unique_fails,
+        coalesce(sum(good) FILTER (NOT gone AND bad), 0)::BIGINT AS good_lost,
+        coalesce(sum(toxic) FILTER (NOT gone AND bad), 0)::BIGINT AS toxic_lost
+      FROM met GROUP BY part, filter_order, step, f
+    )
+    SELECT * EXCLUDE (f), (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley FROM sums
+"""
+
+ORACLES["op13_url_filters"] = _url_sql()
