@@ -164,28 +164,44 @@ def test_runs_are_compacted(spark, tmp_path):
 # --- sentence spans ---
 
 
-def brute_spans(rows, size=3, least=30):
-    pieces = {}
-    for i, t in rows:
-        pieces[i, t] = re.findall(spans.SENTENCE, t or "")
-    key = lambda s: re.sub(
-        "[ \t\r\n]+", " ", s.translate({c: c + 32 for c in range(65, 91)})
-    ).strip(" ")
+def brute_sentences(text):
+    marks = ".!?。！？．؟۔।"
+    out = []
+    for s in re.findall(rf"[^{marks}\n]+[{marks}\n]*[ \t\r\n]*|[{marks}\n]+[ \t\r\n]*", text or ""):
+        words = re.findall(r"[ \t\r\n]*[^ \t\r\n]+[ \t\r\n]*|[ \t\r\n]+", s)
+        parts = [""]
+        for n, word in enumerate(words):
+            parts[-1] += word
+            key = brute_key(word)
+            last = n == len(words) - 1
+            if len(words) > 12 and not last and ((ord(key[0]) if key else 0) + len(key)) % 6 == 0:
+                parts.append("")
+        out += parts
+    return out
+
+
+def brute_key(sentence):
+    lowered = sentence.translate({c: c + 32 for c in range(65, 91)})
+    return re.sub("[ \t\r\n]+", " ", lowered).strip(" ")
+
+
+def brute_spans(rows, size=3):
+    pieces = {(i, t): brute_sentences(t) for i, t in rows}
     first, out = {}, Counter()
     order = sorted(pieces, key=lambda r: (r[0] is not None, r[0] or 0))
-    spans_of = {
-        r: [tuple(key(s) for s in pieces[r][j : j + size]) for j in range(len(pieces[r]) - size + 1)]
-        for r in order
-    }
+    spans_of = {}
     for r in order:
+        keys = [brute_key(s) for s in pieces[r]]
+        runs = max(len(keys) - size + 1, 1 if keys else 0)
+        spans_of[r] = [tuple(keys[j : j + size]) for j in range(runs)]
         for j, s in enumerate(spans_of[r]):
             first.setdefault(s, (r[0], j))
     for (i, t) in rows:
         gone = set()
         met = set()
         for j, s in enumerate(spans_of[i, t]):
-            if sum(map(len, s)) >= least and (first[s][0] != i or s in met):
-                gone.update(range(j, j + size))
+            if first[s][0] != i or s in met:
+                gone.update(range(j, j + len(s)))
             met.add(s)
         kept = "".join(p for n, p in enumerate(pieces[i, t]) if n not in gone)
         out[i, len(pieces[i, t]), len(gone), kept] += 1
@@ -193,14 +209,19 @@ def brute_spans(rows, size=3, least=30):
 
 
 def test_sentence_spans(docs):
+    passage = " ".join(f"word{i * i % 97}x{'y' * (i % 7)}" for i in range(51))
     shared = "Alpha beta gamma delta. Epsilon zeta eta theta! Iota kappa lambda mu? Nu xi."
     rows = ODD + [
         (20, "Start here. " + shared), (21, "Other. " + shared.upper() + " The end."),
         (22, shared.replace(". ", ".\n")), (23, "a. b. c. a. b. c."), (24, "a. b. c."),
+        (25, "One. Two"), (26, "ONE.  two"), (27, "Before. One. Two"), (28, "第一。第二！第三？第四"),
+        (29, "第一。第二！第三？"), (30, passage), (31, "Another start goes " + passage + " and an end"),
     ]
     found = spans.drop_repeated_spans(docs(*rows))
     got = found.select("row.doc_id", "n_sentences", "n_removed", "kept").collect()
     assert Counter(map(tuple, got)) == brute_spans(rows)
+    removed = {r.doc_id: r.n_removed for r in got}
+    assert all(removed[i] > 0 for i in (21, 22, 24, 26, 29, 31)) and removed[27] == 0
 
 
 def test_sentences_put_together_are_the_text(odd):

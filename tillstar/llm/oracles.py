@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tillstar.llm.spans import SENTENCE, WORD
 from tillstar.llm.tables import UPPER
 
 _LOWER = f"translate({{}}, '{UPPER}', '{UPPER.lower()}')"
@@ -90,21 +91,35 @@ ORACLES: dict[str, str] = {
         LEFT JOIN hit_items i ON d.doc_id = i.doc_id
     """,
     "op10_sentence_spans": f"""
-        WITH pieces AS (
-          SELECT doc_id, unnest(p) AS piece, generate_subscripts(p, 1) AS pos
-          FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''),
-                  '[^.!?\\n]+[.!?\\n]*[ \\t\\r\\n]*|[.!?\\n]+[ \\t\\r\\n]*') AS p FROM documents)
+        WITH sentences AS (
+          SELECT doc_id, unnest(p) AS sentence, generate_subscripts(p, 1) AS no
+          FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{SENTENCE}') AS p
+                FROM documents)
+        ), words AS (
+          SELECT doc_id, no, len(w) AS n, unnest(w) AS word, generate_subscripts(w, 1) AS place
+          FROM (SELECT *, regexp_extract_all(sentence, '{WORD}') AS w FROM sentences)
+        ), ends AS (
+          SELECT *, {_LOWER.format("trim(word, ' ' || chr(9) || chr(10) || chr(13))")} AS key FROM words
+        ), parts AS (
+          SELECT *, coalesce(sum((n > 12 AND (unicode(key) + length(key)) % 6 = 0)::INT) OVER (
+            PARTITION BY doc_id, no ORDER BY place
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS part FROM ends
         ), keyed AS (
-          SELECT *, trim(regexp_replace({_LOWER.format("piece")}, '[ \\t\\r\\n]+', ' ', 'g'))
-            AS key FROM pieces
+          SELECT doc_id, string_agg(word, '' ORDER BY place) AS piece,
+            row_number() OVER (PARTITION BY doc_id ORDER BY no, part) AS pos,
+            count(*) OVER (PARTITION BY doc_id) AS pieces,
+            trim(regexp_replace({_LOWER.format("string_agg(word, '' ORDER BY place)")},
+              '[ \t\r\n]+', ' ', 'g')) AS key
+          FROM parts GROUP BY doc_id, no, part
         ), spans AS (
-          SELECT doc_id, pos, key || chr(10) || lead(key, 1) OVER w || chr(10)
-            || lead(key, 2) OVER w AS span
+          SELECT doc_id, pos, pieces, concat_ws(chr(10), key, lead(key, 1) OVER w, lead(key, 2) OVER w)
+            AS span
           FROM keyed WINDOW w AS (PARTITION BY doc_id ORDER BY pos)
         ), later AS (
           SELECT doc_id, pos FROM (
-            SELECT doc_id, pos, row_number() OVER (PARTITION BY span ORDER BY doc_id, pos) AS n
-            FROM spans WHERE length(span) - 2 >= 30) WHERE n > 1
+            SELECT doc_id, pos, row_number() OVER (
+              PARTITION BY span, least(pieces, 3) ORDER BY doc_id, pos) AS n
+            FROM spans WHERE pos <= greatest(pieces - 2, 1)) WHERE n > 1
         ), covered AS (
           SELECT DISTINCT doc_id, unnest([pos, pos + 1, pos + 2]) AS pos FROM later
         ), marked AS (

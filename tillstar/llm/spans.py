@@ -2,21 +2,69 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstar.llm.tables import lower_ascii, written
 
 SPAN = 3
-MIN_CHARS = 30
+#: Sentences of more words are cut by their content.
+LONG_SENTENCE = 12
 
+#: Marks that end a sentence: Latin, full-width and ideographic, Arabic, Devanagari.
+MARKS = ".!?。！？．؟۔।"
 #: A sentence ends with marks or a line end and has the white space behind it.
-SENTENCE = r"[^.!?\n]+[.!?\n]*[ \t\r\n]*|[.!?\n]+[ \t\r\n]*"
+SENTENCE = rf"[^{MARKS}\n]+[{MARKS}\n]*[ \t\r\n]*|[{MARKS}\n]+[ \t\r\n]*"
+WORD = r"[ \t\r\n]*[^ \t\r\n]+[ \t\r\n]*|[ \t\r\n]+"
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _cut(sentence: Column) -> Column:
+    """A sentence, or its parts if it is long: each ends with a word that its content picks.
+
+    The first code point and the length of a word pick one word in six, so the parts inside a
+    passage are the same wherever in a sentence the passage starts.
+    """
+
+    def ends_part(word: Column) -> Column:
+        key = sentence_key(word)
+        return (F.ascii(key) + F.char_length(key)) % 6 == 0
+
+    def parts(words: Column) -> Column:
+        last = F.size(words)
+        ends = F.filter(
+            F.sequence(F.lit(1), last), lambda i: (i == last) | ends_part(F.get(words, i - 1))
+        )
+
+        def of_ends(e: Column) -> Column:
+            def part(end: Column, i: Column) -> Column:
+                start = F.when(i == 0, 0).otherwise(F.get(e, i - 1))
+                return F.array_join(F.slice(words, start + 1, end - start), "")
+
+            return F.transform(e, part)
+
+        return _let(ends, of_ends)
+
+    words = F.regexp_extract_all(sentence, F.lit(WORD), 0)
+    return _let(
+        words,
+        lambda w: F.when(F.size(w) <= LONG_SENTENCE, F.array(sentence)).otherwise(parts(w)),
+    )
 
 
 def sentences(text: Column) -> Column:
-    """The sentences of a text, which put together are the text; none for null and empty texts."""
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(SENTENCE), 0)
+    """The sentences of a text, long ones in parts; put together they are the text.
+
+    Null and empty texts have none.
+    """
+    whole = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(SENTENCE), 0)
+    return F.flatten(F.transform(whole, _cut))
 
 
 def sentence_key(sentence: Column) -> Column:
@@ -24,13 +72,13 @@ def sentence_key(sentence: Column) -> Column:
     return F.btrim(F.regexp_replace(lower_ascii(sentence), r"[ \t\r\n]+", " "))
 
 
-def _spans(text: Column, size: int, min_chars: int) -> Column:
-    """Digest, place and repeat flag of each run of ``size`` sentences of a text."""
+def _spans(text: Column, size: int) -> Column:
+    """Digest, place and repeat flag of each run of ``size`` sentences, or of the fewer there are."""
     keys = F.transform(
         sentences(text),
-        lambda s: F.struct(
-            F.xxhash64(sentence_key(s)).alias("a"), F.xxhash64(F.lit(7), sentence_key(s)).alias("b"),
-            F.char_length(sentence_key(s)).alias("n"),
+        lambda s: _let(
+            sentence_key(s),
+            lambda key: F.struct(F.xxhash64(key).alias("a"), F.xxhash64(F.lit(7), key).alias("b")),
         ),
     )
 
@@ -39,13 +87,11 @@ def _spans(text: Column, size: int, min_chars: int) -> Column:
             own = [F.get(k, i + j) for j in range(size)]
             return F.struct(
                 F.xxhash64(*[o["a"] for o in own]).alias("a"),
-                F.hash(*[o["b"] for o in own]).alias("b"),
-                i.alias("at"), sum((o["n"] for o in own[1:]), own[0]["n"]).alias("n"),
+                F.hash(*[o["b"] for o in own]).alias("b"), i.alias("at"),
             )
 
         places = F.sequence(F.lit(0), F.greatest(F.size(k) - size, F.lit(0)))
-        found = F.when(F.size(k) >= size, F.transform(places, span))
-        return F.array_sort(F.filter(found, lambda s: s["n"] >= min_chars))
+        return F.array_sort(F.when(F.size(k) > 0, F.transform(places, span)))
 
     def flagged(found: Column) -> Column:
         def one(s: Column, i: Column) -> Column:
@@ -55,22 +101,17 @@ def _spans(text: Column, size: int, min_chars: int) -> Column:
 
         return F.transform(found, one)
 
-    def let(value: Column, body) -> Column:
-        return F.element_at(F.transform(F.array(value), body), 1)
-
-    return let(let(keys, of_keys), flagged)
+    return _let(_let(keys, of_keys), flagged)
 
 
-def drop_repeated_spans(
-    docs: DataFrame, size: int = SPAN, min_chars: int = MIN_CHARS
-) -> DataFrame:
+def drop_repeated_spans(docs: DataFrame, size: int = SPAN) -> DataFrame:
     """``row`` (all columns of ``docs``), ``n_sentences, n_removed, kept`` of every row.
 
-    A span is a run of ``size`` sentences with ``min_chars`` code points or more in all; sentences
-    are alike but for the case of A-Z and white space. Of each span found more than once the first
-    by (id, place) stays; sentences that any other one covers are removed. Rows of one id are one
-    document, so repeated rows leave each other alone; null ids come before all others. Null and
-    empty texts have no sentences, texts of fewer than ``size`` no span.
+    A span is a run of ``size`` sentences, or of all if a text has fewer; sentences are alike but
+    for the case of A-Z and white space, and those of more than twelve words count as several. Of
+    each span found more than once the first by (id, place) stays; sentences that any other one
+    covers are removed. Rows of one id are one document, so repeated rows leave each other alone;
+    null ids come before all others. Null and empty texts have no sentences and no span.
 
     The least id of each span comes from a pre-combined aggregate and is joined back, so a span
     that a third of all documents share is never one group. The sentences' text is not shuffled
@@ -81,7 +122,7 @@ def drop_repeated_spans(
         docs.select(
             F.coalesce(F.col("doc_id").cast("bigint"), first_id).alias("_id"),
             F.xxhash64("text").alias("_text"),
-            F.explode(_spans(F.col("text"), size, min_chars)).alias("s"),
+            F.explode(_spans(F.col("text"), size)).alias("s"),
         ).select("_id", "_text", "s.a", "s.b", "s.at", "s.again"),
         "spans",
     )
