@@ -33,8 +33,10 @@ def _cut(sentence: Column) -> Column:
     """
 
     def ends_part(word: Column) -> Column:
-        key = sentence_key(word)
-        return (F.ascii(key) + F.char_length(key)) % 6 == 0
+        plain = F.btrim(word, F.lit(" \t\r\n"))
+        first = F.ascii(plain)
+        lowered = F.when(first.between(65, 90), first + 32).otherwise(first)
+        return (lowered + F.char_length(plain)) % 6 == 0
 
     def parts(words: Column) -> Column:
         last = F.size(words)
@@ -68,14 +70,17 @@ def sentences(text: Column) -> Column:
 
 
 def sentence_key(sentence: Column) -> Column:
-    """A-Z in lower case, white space in single blanks."""
-    return F.btrim(F.regexp_replace(lower_ascii(sentence), r"[ \t\r\n]+", " "))
+    """White space in single blanks, none at the ends; the case is the caller's."""
+    return F.btrim(F.regexp_replace(sentence, r"[ \t\r\n]{2,}|[\t\r\n]", " "))
 
 
 def _spans(text: Column, size: int) -> Column:
-    """Digest, place and repeat flag of each run of ``size`` sentences, or of the fewer there are."""
+    """Digest, place and repeat flag of each run of ``size`` sentences, or of the fewer there are.
+
+    Each comes with the number of all sentences.
+    """
     keys = F.transform(
-        sentences(text),
+        sentences(lower_ascii(text)),
         lambda s: _let(
             sentence_key(s),
             lambda key: F.struct(F.xxhash64(key).alias("a"), F.xxhash64(F.lit(7), key).alias("b")),
@@ -91,15 +96,16 @@ def _spans(text: Column, size: int) -> Column:
             )
 
         places = F.sequence(F.lit(0), F.greatest(F.size(k) - size, F.lit(0)))
-        return F.array_sort(F.when(F.size(k) > 0, F.transform(places, span)))
+        found = F.array_sort(F.when(F.size(k) > 0, F.transform(places, span)))
+        return F.struct(found.alias("spans"), F.size(k).alias("n"))
 
     def flagged(found: Column) -> Column:
         def one(s: Column, i: Column) -> Column:
-            before = F.get(found, i - 1)
+            before = F.get(found["spans"], i - 1)
             again = (i > 0) & (before["a"] == s["a"]) & (before["b"] == s["b"])
-            return F.struct(s["a"], s["b"], s["at"], again.alias("again"))
+            return F.struct(s["a"], s["b"], s["at"], again.alias("again"), found["n"].alias("n"))
 
-        return F.transform(found, one)
+        return F.transform(found["spans"], one)
 
     return _let(_let(keys, of_keys), flagged)
 
@@ -123,28 +129,37 @@ def drop_repeated_spans(docs: DataFrame, size: int = SPAN) -> DataFrame:
             F.coalesce(F.col("doc_id").cast("bigint"), first_id).alias("_id"),
             F.xxhash64("text").alias("_text"),
             F.explode(_spans(F.col("text"), size)).alias("s"),
-        ).select("_id", "_text", "s.a", "s.b", "s.at", "s.again"),
+        ).select("_id", "_text", "s.a", "s.b", "s.at", "s.again", "s.n"),
         "spans",
     )
     shared = (
         spans.filter("NOT again").groupBy("a", "b")
-        .agg(F.min("_id").alias("first"), F.max("_id").alias("last")).filter("first < last")
+        .agg(F.min("_id").alias("first"), F.count("*").alias("rows")).filter("rows > 1")
         .select("a", "b", "first")
     )
     later = spans.filter("NOT again").join(shared, ["a", "b"]).filter("_id > first")
-    places = later.select("_id", "_text", "at").unionByName(
-        spans.filter("again").select("_id", "_text", "at")
+    of = [F.col("_id").alias("_of"), F.col("_text").alias("_key")]
+    nowhere, unknown = F.lit(None).cast("int").alias("at"), F.lit(None).cast("int").alias("n")
+    places = later.select(*of, "at", unknown).unionByName(
+        spans.filter("again").select(*of, "at", unknown)
+    ).unionByName(
+        spans.filter("at = 0").select(*of, nowhere, "n")  # each row with a span has one there
+    )
+    found = places.groupBy("_of", "_key").agg(
+        F.sort_array(F.collect_set("at")).alias("_places"), F.max("n").alias("_n")
     )
-    removed = places.groupBy("_id", "_text").agg(F.sort_array(F.collect_set("at")).alias("_places"))
-    removed = removed.withColumnRenamed("_id", "_of").withColumnRenamed("_text", "_key")
     rows = docs.select(
         F.struct(*[docs[c] for c in docs.columns]).alias("row"),
         F.coalesce(F.col("doc_id").cast("bigint"), first_id).alias("_id"),
         F.xxhash64("text").alias("_text"),
     )
-    joined = rows.join(removed, (F.col("_id") == F.col("_of")) & (F.col("_text") == F.col("_key")), "left")
-    rows = joined.withColumn("_sentences", sentences(F.col("row.text")))
-    places = F.coalesce("_places", F.array().cast("array<int>"))
+    joined = rows.join(
+        found, (F.col("_id") == F.col("_of")) & (F.col("_text") == F.col("_key")), "left"
+    )
+    text, places = F.coalesce("row.text", F.lit("")), F.col("_places")
+    changed = joined.withColumn(
+        "_sentences", F.when(F.size(places) > 0, sentences(F.col("row.text")))
+    )
     # what is between two removed spans: from the end of one to the start of the next
     starts = F.concat(F.array(F.lit(0)), F.transform(places, lambda p: p + size))
     ends = F.concat(places, F.array(F.size("_sentences")))
@@ -152,10 +167,13 @@ def drop_repeated_spans(docs: DataFrame, size: int = SPAN) -> DataFrame:
         starts, ends,
         lambda a, b: F.slice(F.col("_sentences"), a + 1, F.greatest(b - a, F.lit(0))),
     )
-    rows = rows.withColumn("_kept", F.flatten(stretches))
-    return rows.select(
+    kept = changed.withColumn(
+        "_kept", F.when(F.col("_sentences").isNotNull(), F.flatten(stretches))
+    )
+    n_removed = F.coalesce(F.size("_sentences") - F.size("_kept"), F.lit(0))
+    return kept.select(
         "row",
-        F.size("_sentences").cast("bigint").alias("n_sentences"),
-        (F.size("_sentences") - F.size("_kept")).cast("bigint").alias("n_removed"),
-        F.array_join("_kept", "").alias("kept"),
+        F.coalesce("_n", F.lit(0)).cast("bigint").alias("n_sentences"),
+        F.when(F.col("_kept").isNull(), 0).otherwise(n_removed).cast("bigint").alias("n_removed"),
+        F.when(F.col("_kept").isNull(), text).otherwise(F.array_join("_kept", "")).alias("kept"),
     )
