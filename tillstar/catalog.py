@@ -21,7 +21,7 @@ from tillstar.sources import warehouse
 from tillstar.sources.raw import read_raw_csv
 from tillstar.streaming import hourly, incremental
 from tillstar.streaming import quarantine as stream_rules
-from tillstar.streaming.sources import file_by_file, new_folder
+from tillstar.streaming.sources import in_turn, new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -251,33 +251,53 @@ def _report(star: Star) -> DataFrame:
 # --- streams ---------------------------------------------------------------------------------
 
 
-def _mixed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The order lines of ``events`` as a stream of six files that each span the whole time."""
-    lines = src.event_lines(src.table(spark, sf_dir, "events"))
-    part = F.pmod(F.xxhash64("item_id"), F.lit(6))
-    return file_by_file([lines.filter(part == i) for i in range(6)], new_folder(spark, "events"))
+def _mixed_events(spark: SparkSession, sf_dir: str, name: str, take: Callable) -> None:
+    """``events`` in six deliveries that each span the whole time, taken as they come."""
+    events = src.table(spark, sf_dir, "events")
+    part = F.col("event_id") % 6
+    in_turn([events.filter(part == i) for i in range(6)], new_folder(spark, name), take)
 
 
-def _stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    target = new_folder(spark, "incremental")
-    lines = _mixed_events(spark, sf_dir).select(
+def _day_lines(events: DataFrame) -> DataFrame:
+    return src.event_lines(events).select(
         "item_id", "order_id", "order_ts", "quantity", "unit_price", "total_price",
         F.col("order_ts").cast("date").alias("day"),
     )
-    incremental.incremental_load(lines, target, f"{target}-state", ["item_id"], "day")
+
+
+def _stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = new_folder(spark, "incremental")
+    _mixed_events(spark, sf_dir, "events", lambda inbox: incremental.incremental_load(
+        inbox, _day_lines, target, f"{target}-state", ["item_id"], "day"
+    ))
     return incremental.loaded_lines(spark, target).groupBy("day").agg(
         F.count("*").alias("lines"), money(F.sum("total_price")).alias("revenue")
     )
 
 
-def _stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _hourly_stream(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     target = new_folder(spark, "hourly")
-    hourly.run_hourly(_mixed_events(spark, sf_dir), target, f"{target}-state")
-    return hourly.hourly_result(spark, target)
+    _mixed_events(spark, sf_dir, "events", lambda inbox: hourly.run_hourly(
+        inbox, src.event_lines, target, f"{target}-state"
+    ))
+    return target, f"{target}-state"
+
+
+def _stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hourly.hourly_result(spark, *_hourly_stream(spark, sf_dir))
+
+
+def _stream_hourly_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that left with their hour, that came late for it, and that are of hours still open."""
+    target, checkpoint = _hourly_stream(spark, sf_dir)
+    still_open = hourly.open_hours(spark, checkpoint).agg(F.sum("lines").alias("lines"))
+    return hourly.arrivals(spark, target).unionByName(
+        still_open.select(F.lit("open").alias("kind"), "lines")
+    )
 
 
 def _stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw lines in four files, by part: within each file times, orders and copies are mixed."""
+    """Raw lines in four deliveries, by part: in each, times, orders and copies are mixed."""
     target = new_folder(spark, "stream-quarantine")
     raw = src.retail_text(spark, sf_dir)
     cuts = raw.agg(F.expr("percentile_approx(_row.l_partkey, array(0.25, 0.5, 0.75))")).first()[0]
@@ -288,15 +308,14 @@ def _stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
                    & (part <= hi if hi is not None else F.lit(True)))
         for lo, hi in bounds
     ]
-    lines = file_by_file(parts, f"{target}-raw")
-    stream_rules.run_quarantine(lines, target, f"{target}-state")
-    outcome = [
-        spark.read.parquet(f"{target}/rejected/batch=*").select(
-            F.col("reject_reason").alias("outcome")),
-        spark.read.parquet(f"{target}/accepted/batch=*").select(
-            F.lit("accepted").alias("outcome")),
-    ]
-    return outcome[0].unionByName(outcome[1]).groupBy("outcome").agg(F.count("*").alias("rows"))
+    in_turn(parts, f"{target}-raw", lambda inbox: stream_rules.run_quarantine(
+        inbox, target, f"{target}-state"
+    ))
+    rejected, accepted = stream_rules.outcome(spark, target)
+    both = rejected.select(F.col("reject_reason").alias("outcome")).unionByName(
+        accepted.select(F.lit("accepted").alias("outcome"))
+    )
+    return both.groupBy("outcome").agg(F.count("*").alias("rows"))
 
 
 SLICE = SliceSpec(
@@ -430,5 +449,6 @@ QUERIES: dict[str, Query] = {
     # streams
     "stream_incremental": _stream_incremental,
     "stream_hourly": _stream_hourly,
+    "stream_hourly_arrivals": _stream_hourly_arrivals,
     "stream_quarantine": _stream_quarantine,
 }

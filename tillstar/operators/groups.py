@@ -51,3 +51,9 @@ def mark_repeats(
     marked = base.join(first, base["_live"] & _same(keys, base, first, "_of"), "left")
     repeat = F.coalesce(F.col(order) != F.col("_first"), F.lit(False))
     return marked.withColumn(out, repeat).select(*df.columns, out)
+
+
+def with_keys_of(df: DataFrame, keys_of: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows whose key is among those of another table; a null matches a null."""
+    wanted = keys_of.select(*[F.col(k).alias(f"{k}_of") for k in keys])
+    return df.join(wanted, _same(keys, df, wanted, "_of"), "left_semi")

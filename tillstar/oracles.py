@@ -802,6 +802,21 @@ f AS (SELECT ok * 10 + ln AS order_item_id, ok AS order_id, d, CAST(d AS TIMESTA
     # streams
     "stream_incremental": _counter("", f"""SELECT d AS day, count(*) AS lines,
     {_money('sum(tc)')} AS revenue FROM e GROUP BY d"""),
+    "stream_hourly_arrivals": """
+        WITH lines AS (
+          SELECT event_id % 6 AS delivery, date_trunc('hour', ts) + INTERVAL 1 HOUR AS hour_end, ts
+          FROM events
+        ), marks AS (
+          SELECT delivery, date_trunc('millisecond', max(max(ts)) OVER (
+            ORDER BY delivery ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) - INTERVAL 1 HOUR AS mark
+          FROM lines GROUP BY delivery
+        ), kinds AS (
+          SELECT CASE WHEN hour_end <= mark THEN 'late'
+            WHEN hour_end <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 HOUR FROM lines)
+              THEN 'closed' ELSE 'open' END AS kind
+          FROM lines JOIN marks USING (delivery)
+        )
+        SELECT kind, count(*) AS lines FROM kinds GROUP BY kind""",
     "stream_hourly": _counter("", f"""SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS hour_start,
     count(*) AS lines, {_money('sum(tc)')} AS revenue FROM e GROUP BY 1"""),
     "stream_quarantine": _judged("""SELECT coalesce(reject_reason, 'accepted') AS outcome,

@@ -1,33 +1,119 @@
-"""File streams, and running a stream over all that is there."""
+"""File streams: the stream itself, the rows of one of its micro-batches, and running it."""
 
 from __future__ import annotations
 
+import json
 import uuid
+from collections.abc import Callable
+from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.types import StructType
 
 from tillstar.session import shared_dir
 
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
-def file_by_file(parts: list[DataFrame], folder: str) -> DataFrame:
-    """A stream that takes one of ``parts`` for each micro-batch, in the given order.
 
-    They are written as one file each, one after the other, as a file stream goes by file times.
+@dataclass(frozen=True)
+class Inbox:
+    """A folder that Parquet files are delivered to.
+
+    A stateful query only carries what its state needs. What else a micro-batch needs of its rows
+    it reads by :meth:`batch`, from the files that Spark's own log names for that micro-batch; so
+    both see the same rows, also when a micro-batch is done again.
+    """
+
+    spark: SparkSession
+    folder: str
+    schema: StructType
+    files_per_batch: int | None = None
+
+    def stream(self) -> DataFrame:
+        reader = self.spark.readStream.schema(self.schema)
+        if self.files_per_batch:
+            reader = reader.option("maxFilesPerTrigger", self.files_per_batch)
+        return reader.parquet(self.folder)
+
+    def batch(self, checkpoint: str, number: int) -> Batch:
+        """A micro-batch of the query with that checkpoint, which has this one source."""
+        known = _offsets(self.spark, checkpoint, number)
+        watermark, last = known[number]
+        before_watermark, before = known.get(number - 1, (watermark, -1))
+        files = _logged_files(self.spark, checkpoint, before, last)
+        reader = self.spark.read.schema(self.schema)
+        rows = reader.parquet(*files) if files else self.spark.createDataFrame([], self.schema)
+        return Batch(rows, before_watermark)
+
+
+@dataclass(frozen=True)
+class Batch:
+    """Rows of a micro-batch, and the time (milliseconds) up to which windows were closed before it.
+
+    That is the watermark which the micro-batch before it ran with: Spark closes windows by a
+    micro-batch's own watermark, after it has taken in the rows of the micro-batch.
+    """
+
+    rows: DataFrame
+    closed_until: int
+
+
+def _offsets(spark: SparkSession, checkpoint: str, number: int) -> dict[int, tuple[int, int]]:
+    """Watermark and last entry of the source's log, of a micro-batch and the one before it."""
+    logs = f"{checkpoint}/offsets/{{{max(number - 1, 0)},{number}}}"
+    out = {}
+    for r in spark.read.text(logs, wholetext=True).select("_metadata.file_name", "value").collect():
+        _, settings, offset = r.value.split("\n")[:3]
+        entry = -1 if offset == "-" else json.loads(offset)["logOffset"]
+        out[int(r.file_name)] = (json.loads(settings)["batchWatermarkMs"], entry)
+    return out
+
+
+def _logged_files(spark: SparkSession, checkpoint: str, after: int, last: int) -> list[str]:
+    """Files of the entries behind ``after`` up to ``last``; every tenth entry sums up all before."""
+    if after >= last:
+        return []
+    names = ",".join(f"{i},{i}.compact" for i in range(after + 1, last + 1))
+    lines = spark.read.text(f"{checkpoint}/sources/0/{{{names}}}").collect()
+    entries = [json.loads(r.value) for r in lines if r.value.startswith("{")]
+    return sorted({e["path"] for e in entries if after < e["batchId"] <= last})
+
+
+def in_turn(parts: list[DataFrame], folder: str, take: Callable[[Inbox], None]) -> None:
+    """Deliver one of ``parts`` after the other, with as many files each as it has partitions.
+
+    ``take`` runs a stream over what is there after each delivery.
     """
     for part in parts:
-        part.coalesce(1).write.mode("append").parquet(folder)
-    spark = parts[0].sparkSession
-    return (
-        spark.readStream.schema(parts[0].schema).option("maxFilesPerTrigger", 1).parquet(folder)
-    )
+        part.write.mode("append").parquet(folder)
+        take(Inbox(part.sparkSession, folder, part.schema))
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:8]}"
 
 
-def run_available(writer: DataStreamWriter, checkpoint: str) -> None:
+@contextmanager
+def _kept_in_rocksdb(spark: SparkSession):
+    """State in RocksDB on the executors' disks, with its changes logged in the checkpoint."""
+    before = {k: spark.conf.get(k, None) for k in STATE_SETTINGS}
+    for k, v in STATE_SETTINGS.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def run_available(spark: SparkSession, writer: DataStreamWriter, checkpoint: str) -> None:
     """Process what is there and stop; a later run goes on from the same checkpoint."""
-    query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    with _kept_in_rocksdb(spark):
+        query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
