@@ -21,7 +21,7 @@ from tillstar.sources import warehouse
 from tillstar.sources.raw import read_raw_csv
 from tillstar.streaming import hourly, incremental
 from tillstar.streaming import quarantine as stream_rules
-from tillstar.streaming.sources import in_turn, new_folder
+from tillstar.streaming.sources import Inbox, new_folder, one_batch_each
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -251,11 +251,11 @@ def _report(star: Star) -> DataFrame:
 # --- streams ---------------------------------------------------------------------------------
 
 
-def _mixed_events(spark: SparkSession, sf_dir: str, name: str, take: Callable) -> None:
-    """``events`` in six deliveries that each span the whole time, taken as they come."""
+def _mixed_events(spark: SparkSession, sf_dir: str) -> Inbox:
+    """``events`` as a stream of six micro-batches that each span the whole time."""
     events = src.table(spark, sf_dir, "events")
     part = F.col("event_id") % 6
-    in_turn([events.filter(part == i) for i in range(6)], new_folder(spark, name), take)
+    return one_batch_each([events.filter(part == i) for i in range(6)], new_folder(spark, "events"))
 
 
 def _day_lines(events: DataFrame) -> DataFrame:
@@ -267,9 +267,9 @@ def _day_lines(events: DataFrame) -> DataFrame:
 
 def _stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = new_folder(spark, "incremental")
-    _mixed_events(spark, sf_dir, "events", lambda inbox: incremental.incremental_load(
-        inbox, _day_lines, target, f"{target}-state", ["item_id"], "day"
-    ))
+    incremental.incremental_load(
+        _mixed_events(spark, sf_dir), _day_lines, target, f"{target}-state", ["item_id"], "day"
+    )
     return incremental.loaded_lines(spark, target).groupBy("day").agg(
         F.count("*").alias("lines"), money(F.sum("total_price")).alias("revenue")
     )
@@ -277,9 +277,7 @@ def _stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _hourly_stream(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     target = new_folder(spark, "hourly")
-    _mixed_events(spark, sf_dir, "events", lambda inbox: hourly.run_hourly(
-        inbox, src.event_lines, target, f"{target}-state"
-    ))
+    hourly.run_hourly(_mixed_events(spark, sf_dir), src.event_lines, target, f"{target}-state")
     return target, f"{target}-state"
 
 
@@ -297,7 +295,7 @@ def _stream_hourly_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw lines in four deliveries, by part: in each, times, orders and copies are mixed."""
+    """Raw lines in four micro-batches, by part: in each, times, orders and copies are mixed."""
     target = new_folder(spark, "stream-quarantine")
     raw = src.retail_text(spark, sf_dir)
     cuts = raw.agg(F.expr("percentile_approx(_row.l_partkey, array(0.25, 0.5, 0.75))")).first()[0]
@@ -308,9 +306,8 @@ def _stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
                    & (part <= hi if hi is not None else F.lit(True)))
         for lo, hi in bounds
     ]
-    in_turn(parts, f"{target}-raw", lambda inbox: stream_rules.run_quarantine(
-        inbox, target, f"{target}-state"
-    ))
+    inbox = one_batch_each(parts, f"{target}-raw")
+    stream_rules.run_quarantine(inbox, target, f"{target}-state")
     rejected, accepted = stream_rules.outcome(spark, target)
     both = rejected.select(F.col("reject_reason").alias("outcome")).unionByName(
         accepted.select(F.lit("accepted").alias("outcome"))

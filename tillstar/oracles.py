@@ -808,7 +808,7 @@ f AS (SELECT ok * 10 + ln AS order_item_id, ok AS order_id, d, CAST(d AS TIMESTA
           FROM events
         ), marks AS (
           SELECT delivery, date_trunc('millisecond', max(max(ts)) OVER (
-            ORDER BY delivery ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) - INTERVAL 1 HOUR AS mark
+            ORDER BY delivery ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING)) - INTERVAL 1 HOUR AS mark
           FROM lines GROUP BY delivery
         ), kinds AS (
           SELECT CASE WHEN hour_end <= mark THEN 'late'

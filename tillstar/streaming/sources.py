@@ -95,6 +95,20 @@ def in_turn(parts: list[DataFrame], folder: str, take: Callable[[Inbox], None])
         take(Inbox(part.sparkSession, folder, part.schema))
 
 
+def one_batch_each(parts: list[DataFrame], folder: str, files: int = 4) -> Inbox:
+    """Deliver ``parts`` as ``files`` files each, to be taken one part for each micro-batch.
+
+    A file stream goes by file times, so parts are written one after the other. A part needs as
+    many rows as files, for none of them to be left out.
+    """
+    for part in parts:
+        part.repartition(files).write.mode("append").parquet(folder)
+    spark, schema = parts[0].sparkSession, parts[0].schema
+    if len(spark.read.schema(schema).parquet(folder).inputFiles()) != files * len(parts):
+        raise ValueError(f"a part has fewer than {files} rows")
+    return Inbox(spark, folder, schema, files_per_batch=files)
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:8]}"
 
