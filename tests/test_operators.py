@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tillstar.operators import affinity, groups, history, ordered
+from tillstar.operators import affinity, groups, history, ordered, profiling, selection
 
 
 def skewed(spark, n=400, seed=1):
@@ -88,8 +88,8 @@ def test_quantiles_match_numpy(spark, limit):
     assert np.allclose(list(got), np.quantile(values, [0.0, 0.25, 0.5, 0.8, 1.0]))
 
 
-@pytest.mark.parametrize("large, min_orders", [(200, 4), (3, 4), (0, 4), (2, 1)])
-def test_affinity_is_exact_with_baskets_set_aside(spark, large, min_orders):
+@pytest.mark.parametrize("block, min_orders", [(200, 4), (3, 4), (1, 4), (2, 1)])
+def test_affinity_is_exact_with_baskets_in_blocks(spark, block, min_orders):
     rng = random.Random(11)
     baskets = {i: set(rng.sample("abcdefgh", rng.randrange(1, 6))) for i in range(40)}
     baskets[40] = set("abcdefgh")
@@ -99,7 +99,7 @@ def test_affinity_is_exact_with_baskets_set_aside(spark, large, min_orders):
     pairs = Counter(p for codes in baskets.values() for p in combinations(sorted(codes), 2))
     want = {p: n for p, n in pairs.items() if n >= min_orders}
     got = affinity.basket_affinity(
-        df, "o", "c", F.lit(len(baskets)), 8, min_orders, large
+        df, "o", "c", F.lit(len(baskets)), 8, min_orders, block
     ).collect()
     assert {(r.a, r.b): r.orders_together for r in got} == want
     for r in got:
@@ -109,6 +109,32 @@ def test_affinity_is_exact_with_baskets_set_aside(spark, large, min_orders):
         assert abs(float(r.confidence_b_to_a_pct) - 100 * k / b) <= 0.005 + 1e-9
 
 
+def test_one_pair_join_whatever_the_baskets(spark):
+    df = spark.range(3_000).selectExpr("id % 2 AS basket", "id div 2 AS code")
+    pairs = affinity.pair_counts(df, 2, block=100)
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1
+    assert pairs.count() == 1500 * 1499 // 2
+
+
+@pytest.mark.parametrize("digit_bits", [3, 16])
+def test_quantiles_by_digits_match_numpy(spark, digit_bits):
+    rng = random.Random(6)
+    groups = {
+        "small": [rng.choice([-7, 0, 1, 1, 2, 900]) for _ in range(101)],
+        "wide": [rng.randrange(-10**18, 10**18) for _ in range(50)], "one": [5], "same": [-3] * 9,
+    }
+    rows = Counter((g, v) for g, vs in groups.items() for v in vs)
+    counts = spark.createDataFrame([(g, v, n) for (g, v), n in rows.items()], "g string, v bigint, n bigint")
+    counts = counts.unionByName(spark.createDataFrame([("small", None, 4)], counts.schema))
+    fractions = [0.0, 0.25, 0.5, 0.9, 1.0]
+    got = selection.quantiles(counts, "g", "v", "n", fractions, digit_bits)
+    assert set(got) == set(groups)
+    for g, vs in groups.items():
+        assert np.allclose(list(map(float, got[g])), np.quantile(np.array(vs, float), fractions), rtol=1e-12)
+    assert selection.quantiles(counts.limit(0), "g", "v", "n", fractions) == {}
+
+
 def test_versions(spark):
     rows = [("a", "2015-01-01", 1, 10), ("a", "2015-01-01", 2, 11), ("a", "2015-01-05", 3, 11),
             ("a", "2015-01-09", 4, 12), ("b", "2015-01-02", 5, 7)]
@@ -132,3 +158,15 @@ def test_profile_survives_a_huge_value(spark, raw):
             enumerate(["1.00", "2.00", "9999999999999.00", "n/a"])]
     got = {r.measure: r for r in profiling.numeric(raw(*rows).drop("_row")).collect()}["total_price"]
     assert (got["count"], got.non_numeric, str(got.max)) == (3, 1, "9999999999999.00")
+
+
+@pytest.mark.parametrize("prices, std", [
+    (["1000000000.00", "1000000000.50"], "0.3536"), (["16501701907.01"] * 33, "0.0000"),
+    (["-5", "5"], "7.0711"), (["3.00"], None), ([], None),
+    (["90000000000.01", "90000000000.02", "90000000000.05", "0.01"], "45000000000.0083"),
+])
+def test_deviation_is_exact_for_large_amounts(raw, prices, std):
+    rows = [{"item_id": i, "total_price": p} for i, p in enumerate(prices)] or [{}]
+    lines = raw(*rows).drop("_row").limit(len(prices))
+    got = {r.measure: r for r in profiling.numeric(lines).collect()}["total_price"]
+    assert (got["count"], None if got["std"] is None else str(got["std"])) == (len(prices), std)

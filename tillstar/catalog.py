@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tillstar.functions.money import money
 from tillstar.functions.text import title_case, with_clean_text
 from tillstar.operators import dimensions, history, profiling, quality, quarantine
+from tillstar.operators.affinity import basket_affinity
 from tillstar.operators.groups import keep_first
 from tillstar.plans import analyst, insights, measures, views
 from tillstar.plans.measures import SliceSpec
@@ -145,6 +146,19 @@ def _pipeline_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _large_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile of the measures where amounts are huge next to what sets them apart.
+
+    By line: every amount 16501701907.01, or a billion with and without half a unit.
+    """
+    raw = src.retail_text(spark, sf_dir).drop("_row")
+    key = F.col("order_id").cast("bigint") % 2
+    return profiling.numeric(raw.withColumns({
+        "unit_price": F.lit("16501701907.01"),
+        "total_price": F.when(key == 0, "1000000000.00").otherwise("1000000000.50"),
+    }))
+
+
 # --- star schema -----------------------------------------------------------------------------
 
 
@@ -219,6 +233,17 @@ def _extract_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reader.csv(f"{folder}/vw_monthly_trend")
 
 
+def _supplier_affinity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts that the same suppliers deliver: baskets of several hundred codes each."""
+    lines = src.table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey")
+    baskets = lines.select("l_suppkey").distinct().agg(F.count("*").alias("n"))
+    parts = src.table(spark, sf_dir, "part").count()
+    pairs = basket_affinity(lines, "l_suppkey", "l_partkey", baskets.scalar(), parts, 12)
+    return pairs.withColumnsRenamed(
+        {"a": "part_a", "b": "part_b", "orders_together": "suppliers_together"}
+    )
+
+
 def _recipe_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Meat and cheese flags, with meat in every fifth recipe and cheese in every seventh."""
     part = F.regexp_extract("item_name_id", r"_(\d+)_", 1).cast("int")
@@ -360,6 +385,7 @@ QUERIES: dict[str, Query] = {
     "product_performance": _retail(views.product_performance),
     "basket_profile": _retail(views.basket_profile),
     "product_affinity": _retail(views.product_affinity),
+    "supplier_affinity": _supplier_affinity,
     "ingredient_exposure": _retail(views.ingredient_exposure),
     # analyst questions
     "q01_headline": _counter(analyst.headline),
@@ -390,6 +416,7 @@ QUERIES: dict[str, Query] = {
     "profile_duplicates": _raw(profiling.duplicates),
     "profile_domains": _raw(profiling.domains),
     "profile_numeric": _raw(profiling.numeric),
+    "profile_large_amounts": _large_amounts,
     "profile_dates": _raw(profiling.dates),
     "profile_rules": _raw(profiling.rules),
     "profile_fd": _raw(profiling.functional_dependencies),

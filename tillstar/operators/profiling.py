@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstar.functions.calendar import is_strict_time, strict_date
 from tillstar.functions.money import amount, cents, percent, ratio
-from tillstar.operators.ordered import ONE_TASK_ROWS, weighted_quantiles
+from tillstar.operators import selection
 from tillstar.operators.quarantine import price
 from tillstar.schemas import RAW_COLUMNS
 from tillstar.session import checkpointed
@@ -68,53 +66,97 @@ def _numbers(raw: DataFrame) -> DataFrame:
     )
 
 
-def numeric(raw: DataFrame, limit: int = ONE_TASK_ROWS) -> DataFrame:
+MEASURES = ("quantity", "unit_price", "total_price")
+QUARTILES = [0.25, 0.5, 0.75]
+_LIMB = 10**9
+
+
+def _limbs(whole: Column) -> tuple[Column, Column]:
+    """A whole number, not negative, as ``high * 10 ** 9 + low``; sums of their products are exact."""
+    low = F.pmod(whole, F.lit(_LIMB))
+    return ((whole - low) / _LIMB).cast("decimal(19,0)"), low.cast("decimal(19,0)")
+
+
+def moments(counts: DataFrame) -> DataFrame:
+    """Count, sum of cents and sample deviation of each measure, from distinct values with counts.
+
+    Deviations are taken from the whole part of the mean, so what is left to subtract is less than
+    the number of rows. They are squared in two limbs: their sums are exact, whatever the order of
+    the rows, and the one rounding is that of the result.
+    """
+    whole, times = cents(F.col("v")), F.col("n").cast("decimal(15,0)")
+    known = counts.filter("v IS NOT NULL").select("measure", whole.alias("x"), times.alias("n"))
+    x = F.col("x").cast("decimal(19,0)")
+    sums = known.groupBy("measure").agg(
+        F.sum("n").cast("bigint").alias("count"), F.sum(x * F.col("n")).alias("sum_cents")
+    )
+    mean = F.call_function("div", F.col("sum_cents"), F.col("count").cast("decimal(19,0)"))
+    centred = sums.withColumn("centre", mean.cast("decimal(19,0)"))  # a row per measure
+    high, low = _limbs(F.abs(x - F.col("centre")))
+    squares = known.join(F.broadcast(centred.select("measure", "centre")), "measure").select(
+        "measure", "n", high.alias("high"), low.alias("low")
+    )
+
+    def product(a: str, b: str) -> Column:
+        return F.sum((F.col(a) * F.col(b)).cast("decimal(22,0)") * F.col("n")).cast("double")
+
+    total = (
+        product("high", "high") * float(_LIMB) ** 2 + product("high", "low") * (2.0 * _LIMB)
+        + product("low", "low")
+    )
+    parts = squares.groupBy("measure").agg(total.alias("squares"))
+    size = F.col("count")
+    rest = (F.col("sum_cents") - F.col("centre") * size.cast("decimal(15,0)")).cast("double")
+    spread = F.sqrt((F.col("squares") - rest * rest / size) / F.nullif(size - 1, F.lit(0)))
+    return centred.join(F.broadcast(parts), "measure").select(
+        "measure", "count", "sum_cents", (spread / 100).alias("std")
+    )
+
+
+def numeric(raw: DataFrame) -> DataFrame:
     """Count, mean, deviation, quartiles and rule counts of the three measures.
 
     One pass over the text leaves each measure's distinct values with their counts; all the rest
-    follows from those.
+    follows from those, for all measures together.
     """
-    names = ("quantity", "unit_price", "total_price")
-    cells = [F.struct(F.lit(n).alias("measure"), F.col(n).alias("v")) for n in names]
+    cells = [F.struct(F.lit(n).alias("measure"), F.col(n).alias("v")) for n in MEASURES]
     counts = checkpointed(
         _numbers(raw)
         .select(F.inline(F.array(*cells)))
         .groupBy("measure", "v")
         .agg(F.count("*").alias("n"))
     )
-    rows = counts.count()
+    whole = counts.withColumn("cents", cents(F.col("v")))
+    found = selection.quantiles(whole, "measure", "cents", "n", QUARTILES)
+    places = [f"p{round(100 * q)}" for q in QUARTILES]
+    nothing = [None] * len(QUARTILES)
+    quartiles = raw.sparkSession.createDataFrame(
+        [(m, *[q if q is None else float(q / 100) for q in found.get(m, nothing)]) for m in MEASURES],
+        "measure string, " + ", ".join(f"{p} double" for p in places),
+    )
     v, n = F.col("v"), F.col("n")
-    whole = cents(v).cast("decimal(19,0)")
-    times = n.cast("decimal(15,0)")
-
-    def describe(name: str) -> DataFrame:
-        mine = counts.filter(F.col("measure") == name)
-        known = mine.filter(v.isNotNull())
-        quartiles = weighted_quantiles(known, "v", "n", [0.25, 0.5, 0.75], rows, limit)
-        quarter = [quartiles.select(f"q{i}").scalar() for i in range(3)]
-        size, total = F.col("count"), F.col("sum_cents").cast("double") / 100
-        squares = F.col("sum_squares") / 10000
-        spread = F.sqrt((squares - total * total / size) / F.nullif(size - 1, F.lit(0)))
-        sums = mine.agg(
-            F.coalesce(F.sum(F.when(v.isNotNull(), n)), F.lit(0)).alias("count"),
-            F.sum(whole * times).alias("sum_cents"),
-            F.sum(whole.cast("double") * whole.cast("double") * n).alias("sum_squares"),
-            F.min(v).alias("min"),
-            F.max(v).alias("max"),
-            F.coalesce(F.sum(F.when(v.isNull(), n)), F.lit(0)).alias("non_numeric"),
-            F.coalesce(F.sum(F.when(v <= 0, n)), F.lit(0)).alias("non_positive"),
-        )
-        return sums.select(
-            F.lit(name).alias("measure"), "count",
+
+    def rows(which: Column) -> Column:
+        return F.coalesce(F.sum(F.when(which, n)), F.lit(0))
+
+    rest = counts.groupBy("measure").agg(
+        F.min(v).alias("min"), F.max(v).alias("max"),
+        rows(v.isNull()).alias("non_numeric"), rows(v <= 0).alias("non_positive"),
+    )
+    size = F.col("count")
+    return (  # a row per measure on every side
+        quartiles.join(F.broadcast(moments(counts)), "measure", "left")
+        .join(F.broadcast(rest), "measure", "left")
+        .select(
+            "measure", F.coalesce(size, F.lit(0)).alias("count"),
             ratio(F.col("sum_cents").cast("decimal(28,0)"), size * 100, 5).alias("mean"),
-            F.round(spread, 4).cast("decimal(18,4)").alias("std"),
+            F.round("std", 4).cast("decimal(18,4)").alias("std"),
             "min",
-            *[F.round(q, 3).cast("decimal(18,3)").alias(f"p{25 * (i + 1)}")
-              for i, q in enumerate(quarter)],
-            "max", "non_numeric", "non_positive",
+            *[F.round(p, 3).cast("decimal(18,3)").alias(p) for p in places],
+            "max",
+            *[F.coalesce(c, F.lit(0)).alias(c) for c in ("non_numeric", "non_positive")],
         )
-
-    return reduce(DataFrame.unionByName, [describe(n) for n in names])
+    )
 
 
 def dates(raw: DataFrame) -> DataFrame:

@@ -436,6 +436,15 @@ def _numeric(name: str, cents: str) -> str:
   FROM raw"""
 
 
+def _large(name: str, cents: str) -> str:
+    """As ``_numeric``, with the deviation from whole numbers and quartiles from places."""
+    n, total, squares = (
+        f"CAST({c} AS HUGEINT)" for c in (f"count({cents})", f"sum({cents})", f"sum(CAST({cents} AS HUGEINT) * {cents})")
+    )
+    spread = f"sqrt(CAST({n} * {squares} - {total} * {total} AS DOUBLE) / {n} / ({n} - 1)) / 100"
+    return _numeric(name, cents).replace(f"stddev_samp({cents} / 100)", spread)
+
+
 _RAW_QTY = "CAST(quantity AS BIGINT)"
 _RAW_UNIT = "CASE WHEN unit_price <> 'n/a' THEN uc END"
 _BLANKS = " UNION ALL ".join(
@@ -571,6 +580,14 @@ f AS (SELECT ok * 10 + ln AS order_item_id, ok AS order_id, d, CAST(d AS TIMESTA
     "product_performance": _retail(_PRODUCTS, _PERF),
     "basket_profile": _retail(_BASKETS, _BASKET),
     "product_affinity": _retail(_PAIRS, "SELECT * FROM aff"),
+    "supplier_affinity": f"""WITH sp AS (SELECT DISTINCT l_suppkey AS s, l_partkey AS p FROM lineitem),
+    nn AS (SELECT count(DISTINCT s) AS n FROM sp), sg AS (SELECT p, count(*) AS cnt FROM sp GROUP BY p),
+    pc AS (SELECT x.p AS a, y.p AS b, count(*) AS k FROM sp x JOIN sp y ON x.s = y.s AND x.p < y.p
+      GROUP BY 1, 2 HAVING count(*) >= 12)
+    SELECT a AS part_a, b AS part_b, k AS suppliers_together, {_pct('k', 'n', 3)} AS support_pct,
+      {_pct('k', 'sa.cnt')} AS confidence_a_to_b_pct, {_pct('k', 'sb.cnt')} AS confidence_b_to_a_pct,
+      {_ratio('k * n', 'sa.cnt * sb.cnt', 3)} AS lift
+    FROM pc JOIN sg sa ON sa.p = a JOIN sg sb ON sb.p = b CROSS JOIN nn""",
     "ingredient_exposure": _retail(_ITEMS + _EXPOSURE, _EXP),
     # analyst questions
     "q01_headline": _counter("", _KPI),
@@ -642,6 +659,11 @@ f AS (SELECT ok * 10 + ln AS order_item_id, ok AS order_id, d, CAST(d AS TIMESTA
         _numeric("unit_price", f"({_RAW_UNIT})"),
         _numeric("total_price", "src"),
     ])),
+    "profile_large_amounts": _raw(" UNION ALL ".join([
+        _large("quantity", f"(100 * {_RAW_QTY})"),
+        _large("unit_price", "(CASE WHEN order_id <> '' THEN 1650170190701 END)"),
+        _large("total_price", "(100000000000 + 50 * (CAST(order_id AS BIGINT) % 2))"),
+    ])),
     "profile_dates": _raw("""SELECT count(*) FILTER (order_date LIKE '%/%') AS bad_order_date,
     count(*) FILTER (order_time = '25:00:00') AS bad_order_time,
     min(d) FILTER (order_date NOT LIKE '%/%') AS first_date,
