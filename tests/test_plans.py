@@ -3,7 +3,7 @@ from decimal import Decimal
 
 import pytest
 
-from tillstar.plans import analyst, insights, measures, views
+from tillstar.plans import cube, analyst, insights, measures, views
 from tillstar.plans.measures import SliceSpec
 
 D = Decimal
@@ -166,3 +166,40 @@ def test_repeats_are_cut_before_the_shuffle(spark, raw):
     from tillstar.operators.quarantine import clean_lines
 
     assert plan(clean_lines(raw({}))).count("WindowGroupLimit") == 4
+
+
+# --- the summary that slices are asked of ---
+
+
+@pytest.fixture(scope="module")
+def many(spark, star, tmp_path_factory):
+    rows = []
+    for i in range(160):
+        day = date(2015, 1, 1 + (i * 7) % 28).replace(month=1 + i % 5)
+        rows.append((i % 45, "abc"[i % 3], f"{day} {(i * 5) % 24:02d}:00:00", 1 + i % 3, 10 + i % 4))
+    built, folder = star(*rows), str(tmp_path_factory.mktemp("cube"))
+    return cube.build_cube(
+        built, lambda df, name, by: cube.partitioned(df, f"{folder}/{name}", by), one_task_rows=10
+    )
+
+
+@pytest.mark.parametrize("where", [
+    SliceSpec(), SliceSpec(months=("2015-02", "2015-04")), SliceSpec(date_from="2015-02-01"),
+    SliceSpec(date_from="2015-01-09", date_to="2015-04-11"), SliceSpec(date_to="2015-03-31"),
+    SliceSpec(date_from="2015-02-05", date_to="2015-02-20"), SliceSpec(date_from="2015-03-01", date_to="2015-02-01"),
+    SliceSpec(date_from="2015-02-10", date_to="2015-03-09", day_parts=("Lunch",), months=("2015-02",)),
+    SliceSpec(date_from="2015-01-31", date_to="2015-02-28", sizes=("M",)), SliceSpec(categories=("None",)),
+])
+@pytest.mark.parametrize("by", [[], ["day_part"], ["year_month", "item_category"]])
+def test_slices_of_the_summary_are_those_of_the_lines(many, where, by):
+    names = measures.MEASURES
+    want = measures.sliced(many.star, where, names, by).collect()
+    assert sorted(map(str, cube.sliced(many, where, names, by).collect())) == sorted(map(str, want))
+
+
+def test_whole_months_do_not_read_lines(many):
+    text = plan(cube.sliced(many, SliceSpec(date_from="2015-02-01", date_to="2015-03-31"), by=["item_size"]))
+    assert "order_item_id" not in text and "total_price" not in text and "fact_order_items" not in text
+    assert "PartitionFilters: [isnotnull(year_month" in text and "year_month#" in text
+    with pytest.raises(ValueError, match="unknown"):
+        cube.sliced(many, by=["order_id"])

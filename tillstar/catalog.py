@@ -13,7 +13,7 @@ from tillstar.functions.text import title_case, with_clean_text
 from tillstar.operators import dimensions, history, profiling, quality, quarantine
 from tillstar.operators.affinity import basket_affinity
 from tillstar.operators.groups import keep_first
-from tillstar.plans import analyst, insights, measures, views
+from tillstar.plans import analyst, cube, insights, measures, views
 from tillstar.plans.measures import SliceSpec
 from tillstar.plans.star import Star, register_views, star_from_csv, star_of, view
 from tillstar.schemas import DAY_PARTS, RAW_COLUMNS
@@ -345,6 +345,11 @@ SLICE = SliceSpec(
     sizes=("M", "L"),
 )
 
+
+def _cube(source: str, where: SliceSpec, *by: str) -> Query:
+    return lambda spark, sf_dir: cube.sliced(cube.cube_of(spark, sf_dir, source), where, by=by)
+
+
 QUERIES: dict[str, Query] = {
     # cleaning
     "raw_scan": _raw(lambda raw: raw.select(*RAW_COLUMNS)),
@@ -430,11 +435,14 @@ QUERIES: dict[str, Query] = {
     "insight_mix": _retail(insights.mix_summary),
     "insight_basket": _retail(insights.basket_summary),
     # BI measures
-    "kpi_sliced": _retail(lambda s: measures.sliced(s, SLICE, by=["item_category"])),
-    "kpi_sliced_day_part": _counter(
-        lambda s: measures.sliced(
-            s, SliceSpec(months=("2024-01",), day_parts=("Lunch", "Dinner")), by=["day_part"]
-        )
+    "kpi_sliced": _cube("retail", SLICE, "item_category"),
+    "kpi_sliced_days": _cube(
+        "retail", SliceSpec(date_from="1995-02-10", date_to="1997-03-20", categories=("Economy",)),
+        "item_size",
+    ),
+    "kpi_sliced_lines": _retail(lambda s: measures.sliced(s, SLICE, by=["item_category"])),
+    "kpi_sliced_day_part": _cube(
+        "counter", SliceSpec(months=("2024-01",), day_parts=("Lunch", "Dinner")), "day_part"
     ),
     "selected_metric": _retail(
         lambda s: measures.selected_metric(s, "Average Order Value", ["item_category"])

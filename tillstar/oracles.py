@@ -728,6 +728,11 @@ f AS (SELECT ok * 10 + ln AS order_item_id, ok AS order_id, d, CAST(d AS TIMESTA
     "kpi_sliced": _retail("", f"""SELECT {_measures('cat AS item_category')} FROM f
     WHERE d BETWEEN DATE '1996-01-01' AND DATE '1999-12-31' AND cat IN ('Economy', 'Promo')
     AND sz IN ('M', 'L') GROUP BY cat"""),
+    "kpi_sliced_days": _retail("", f"""SELECT {_measures('sz AS item_size')} FROM f
+    WHERE d BETWEEN DATE '1995-02-10' AND DATE '1997-03-20' AND cat = 'Economy' GROUP BY sz"""),
+    "kpi_sliced_lines": _retail("", f"""SELECT {_measures('cat AS item_category')} FROM f
+    WHERE d BETWEEN DATE '1996-01-01' AND DATE '1999-12-31' AND cat IN ('Economy', 'Promo')
+    AND sz IN ('M', 'L') GROUP BY cat"""),
     "kpi_sliced_day_part": _counter("", f"""SELECT {_measures(_PART + ' AS day_part')} FROM f
     WHERE strftime(d, '%Y-%m') = '2024-01' AND {_PART} IN ('Lunch', 'Dinner') GROUP BY {_PART}"""),
     "selected_metric": _retail("", f"""SELECT cat AS item_category, 'Average Order Value' AS metric,

@@ -55,7 +55,7 @@ def _base() -> dict[str, Column]:
 
 
 # Ratios: numerator, denominator, digits.
-_RATIOS = {
+RATIOS = {
     "avg_order_value": ("revenue", "orders", 2),
     "items_per_order": ("items_sold", "orders", 2),
     "avg_unit_price": ("revenue", "items_sold", 2),
@@ -63,7 +63,7 @@ _RATIOS = {
     "orders_per_day": ("orders", "trading_days", 2),
 }
 
-MEASURES = ["revenue", "items_sold", "orders", "trading_days", *_RATIOS]
+MEASURES = ["revenue", "items_sold", "orders", "trading_days", *RATIOS]
 
 # Display names of the metric switch.
 METRIC_NAMES = {
@@ -81,7 +81,7 @@ def measure(lines: DataFrame, names: Iterable[str], by: Iterable[str] = ()) -> D
     if unknown:
         raise ValueError(f"unknown measures: {unknown}")
     base = _base()
-    needed = [b for b in base if b in names or any(b in _RATIOS.get(n, ())[:2] for n in names)]
+    needed = [b for b in base if b in names or any(b in RATIOS.get(n, ())[:2] for n in names)]
     if {"orders", "trading_days"} <= set(needed):
         # Two distinct counts copy each row, so lines are summed up to orders of a day first.
         sums = {"revenue": "_money", "items_sold": "_units"}
@@ -94,8 +94,8 @@ def measure(lines: DataFrame, names: Iterable[str], by: Iterable[str] = ()) -> D
             base["revenue"] = money(base["revenue"])
     grouped = lines.groupBy(*by).agg(*[base[b].alias(b) for b in needed])
     out = [
-        ratio(F.col(_RATIOS[n][0]), F.col(_RATIOS[n][1]), _RATIOS[n][2]).alias(n)
-        if n in _RATIOS
+        ratio(F.col(RATIOS[n][0]), F.col(RATIOS[n][1]), RATIOS[n][2]).alias(n)
+        if n in RATIOS
         else F.col(n)
         for n in names
     ]
