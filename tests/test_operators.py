@@ -170,3 +170,20 @@ def test_deviation_is_exact_for_large_amounts(raw, prices, std):
     lines = raw(*rows).drop("_row").limit(len(prices))
     got = {r.measure: r for r in profiling.numeric(lines).collect()}["total_price"]
     assert (got["count"], None if got["std"] is None else str(got["std"])) == (len(prices), std)
+
+
+def test_counts_of_many_columns_read_the_lines_once(spark):
+    rows = [(i % 3 or None, "" if i % 4 else None, i) for i in range(50)] + [(None, None, 1), (0, "0", 1)]
+    df = spark.createDataFrame(rows, "a int, b string, c int").repartition(4)
+    found = profiling.tallies(
+        df, {"a": ["a"], "b": ["b"], "ab": ["a", "b"], "ba": ["b", "a"], "c": ["c"]},
+        {"high": F.col("c") > 40, "unknown": F.col("a") > 1},
+    )
+    assert found.first().asDict() == {
+        "rows": 52, "a": len({r[0] for r in rows}), "b": len({r[1] for r in rows}),
+        "ab": len({r[:2] for r in rows}), "ba": len({r[:2] for r in rows}), "c": 50,
+        "high": 9, "unknown": sum((r[0] or 0) > 1 for r in rows),
+    }
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan ExistingRDD") == 1
+    assert set(profiling.tallies(df.limit(0), {"a": ["a"]}, {"x": F.col("c") > 1}).first()) == {0}

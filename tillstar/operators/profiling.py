@@ -15,18 +15,47 @@ from tillstar.session import checkpointed
 FD_COLUMNS = ["item_name", "item_category", "item_size", "unit_price"]
 
 
-def _distinct(df: DataFrame, *columns: str) -> Column:
-    """Number of distinct values as a scalar subquery; each reads its own columns only."""
-    return df.select(*columns).distinct().agg(F.count("*").alias("n")).scalar()
+def tallies(
+    raw: DataFrame, distinct: dict[str, list[str]], breaks: dict[str, Column] | None = None
+) -> DataFrame:
+    """One row: ``rows``, distinct values of each set of columns, and rows that a condition holds for.
+
+    Every row gives a cell for each count: its number and the 128-bit digest of the values, nulls
+    told apart from all else. Equal cells meet in one shuffle, after they have been added up on
+    the map side, so the input is read once however many counts there are, and no value is one
+    task's work.
+    """
+    breaks = breaks or {}
+
+    def digest(columns: list[str]) -> tuple[Column, Column]:
+        parts = [p for c in columns for p in (F.col(c).isNull(), F.col(c))]
+        return F.xxhash64(F.lit(1), *parts), F.xxhash64(F.lit(2), *parts)
+
+    cells = [digest(columns) for columns in distinct.values()]
+    cells += [(F.coalesce(c, F.lit(False)).cast("bigint"), F.lit(0).cast("bigint")) for c in breaks.values()]
+    tagged = F.array(*[
+        F.struct(F.lit(i).alias("tag"), a.alias("a"), b.alias("b")) for i, (a, b) in enumerate(cells)
+    ])
+    met = raw.select(F.inline(tagged)).groupBy("tag", "a", "b").agg(F.count("*").alias("n"))
+    tag, n = F.col("tag"), F.col("n")
+    held = {
+        name: F.coalesce(F.sum(F.when((tag == i) & (F.col("a") == 1), n)), F.lit(0))
+        for i, name in enumerate(breaks, len(distinct))
+    }
+    return met.agg(
+        F.coalesce(F.sum(F.when(tag == 0, n)), F.lit(0)).alias("rows"),
+        *[F.count_if(tag == i).alias(name) for i, name in enumerate(distinct)],
+        *[c.alias(name) for name, c in held.items()],
+    )
 
 
 def volume(raw: DataFrame) -> DataFrame:
-    return (
-        raw.agg(F.count("*").alias("rows"))
-        .withColumn("columns", F.lit(len(RAW_COLUMNS)))
-        .withColumn("distinct_item_id", _distinct(raw, "item_id"))
-        .withColumn("distinct_order_id", _distinct(raw, "order_id"))
-        .withColumn("item_id_is_key", F.col("distinct_item_id") == F.col("rows"))
+    found = tallies(
+        raw, {"distinct_item_id": ["item_id"], "distinct_order_id": ["order_id"]}
+    )
+    return found.select(
+        "rows", F.lit(len(RAW_COLUMNS)).alias("columns"), "distinct_item_id", "distinct_order_id",
+        (F.col("distinct_item_id") == F.col("rows")).alias("item_id_is_key"),
     )
 
 
@@ -41,9 +70,10 @@ def completeness(raw: DataFrame) -> DataFrame:
 
 
 def duplicates(raw: DataFrame) -> DataFrame:
-    return raw.agg(F.count("*").alias("rows")).select(
-        (F.col("rows") - _distinct(raw, *RAW_COLUMNS)).alias("duplicate_rows"),
-        (F.col("rows") - _distinct(raw, "item_id")).alias("duplicate_item_id"),
+    found = tallies(raw, {"lines": RAW_COLUMNS, "ids": ["item_id"]})
+    return found.select(
+        (F.col("rows") - F.col("lines")).alias("duplicate_rows"),
+        (F.col("rows") - F.col("ids")).alias("duplicate_item_id"),
     )
 
 
@@ -58,12 +88,12 @@ def domains(raw: DataFrame, columns: tuple[str, ...] = ("item_size", "item_categ
     )
 
 
+def _number(column: str) -> Column:
+    return price(F.col(column), "decimal(18,2)")
+
+
 def _numbers(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        price(F.col("quantity"), "decimal(18,2)").alias("quantity"),
-        price(F.col("unit_price"), "decimal(18,2)").alias("unit_price"),
-        price(F.col("total_price"), "decimal(18,2)").alias("total_price"),
-    )
+    return raw.select(*[_number(c).alias(c) for c in MEASURES])
 
 
 MEASURES = ("quantity", "unit_price", "total_price")
@@ -175,14 +205,16 @@ def dates(raw: DataFrame) -> DataFrame:
 
 def rules(raw: DataFrame) -> DataFrame:
     """Lines that break price x quantity; a value that does not parse breaks the rule too."""
-    expected = amount(F.col("unit_price"), F.col("quantity"))
-    holds = F.coalesce(expected == F.col("total_price"), F.lit(False))
-    return (
-        _numbers(raw)
-        .agg(F.count_if(~holds).alias("price_rule_breaks"))
-        .withColumn("item_name_ids", _distinct(raw, "item_name_id"))
-        .withColumn("item_names", _distinct(raw, "item_name"))
+    expected = amount(F.col("_unit"), F.col("_quantity"))
+    parsed = raw.select(
+        "item_name_id", "item_name", _number("unit_price").alias("_unit"),
+        _number("quantity").alias("_quantity"), _number("total_price").alias("_total"),
     )
+    holds = F.coalesce(expected == F.col("_total"), F.lit(False))
+    return tallies(
+        parsed, {"item_name_ids": ["item_name_id"], "item_names": ["item_name"]},
+        {"price_rule_breaks": ~holds},
+    ).select("price_rule_breaks", "item_name_ids", "item_names")
 
 
 def functional_dependencies(raw: DataFrame) -> DataFrame:
@@ -202,6 +234,4 @@ def functional_dependencies(raw: DataFrame) -> DataFrame:
 
 
 def redundancy(raw: DataFrame) -> DataFrame:
-    return raw.agg(F.count("*").alias("rows")).withColumn(
-        "distinct_recipes", _distinct(raw, "item_ingredients")
-    )
+    return tallies(raw, {"distinct_recipes": ["item_ingredients"]})
