@@ -187,3 +187,32 @@ def test_counts_of_many_columns_read_the_lines_once(spark):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Scan ExistingRDD") == 1
     assert set(profiling.tallies(df.limit(0), {"a": ["a"]}, {"x": F.col("c") > 1}).first()) == {0}
+
+
+def test_versions_kept_up_to_date_are_those_of_a_rebuild(spark, tmp_path):
+    rng = random.Random(8)
+    rows = [(f"k{rng.randrange(30)}", f"2015-01-{1 + i // 20:02d}", i, rng.choice([1, 1, 1, 2, None]))
+            for i in range(200)]
+    df = spark.createDataFrame(rows, "k string, d string, n int, v int").withColumn("d", F.col("d").cast("date"))
+    table = history.VersionTable(spark, str(tmp_path), "k", ["v"], buckets=4)
+    assert table.read() is None and table.apply(df.limit(0), "d", "n") == []
+    days = sorted({r[1] for r in rows})
+    for i, day in enumerate(days):
+        table.apply(df.filter(F.col("d") == F.lit(day)), "d", "n")
+        want = history.versions(df.filter(F.col("d") <= F.lit(day)), "k", "d", ["v"], "n")
+        got = table.read().select(want.columns)
+        if i % 4 == 1 or day == days[-1]:
+            assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect()))
+    with pytest.raises(ValueError, match="has been observed"):
+        table.apply(df.filter("d = '2015-01-03'"), "d", "n")
+
+    def files():
+        return {f for f in table.read().inputFiles()}
+
+    before = files()
+    same = table.read().filter("is_current").limit(1).select("k", "v").first()
+    later = spark.createDataFrame([(same.k, same.v, 1), ("new", 5, 2)], "k string, v int, n int")
+    changed = table.apply(later.withColumn("d", F.lit("2015-02-01").cast("date")), "d", "n")
+    assert len(changed) == 1  # the other key is as it was
+    kept = {f for f in before if f"bucket={changed[0]}/" not in f}
+    assert kept and kept <= files()

@@ -1,13 +1,18 @@
-"""Versioned dimension rows (slowly changing, type 2)."""
+"""Versioned dimension rows (slowly changing, type 2), rebuilt or kept up to date."""
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tillstar.session import checkpointed
+
 
 def versions(
     observed: DataFrame, key: str, day: str, tracked: list[str], order: str
@@ -18,19 +23,128 @@ def versions(
     end). Observations are first reduced to the last ones per key and day, so the windows see at
     most one row per calendar day of a key, however often it was sold.
     """
-    last = observed.groupBy(key, day).agg(
-        *[F.max_by(c, order).alias(c) for c in tracked]
-    )
+    last = _last_of_days(observed, key, day, tracked, order)
     timeline = Window.partitionBy(key).orderBy(day)
+    starts = last.withColumn("_new", _changed(timeline, tracked)).filter("_new")
+    return _with_ends(starts, key, day, tracked, F.row_number().over(timeline))
+
+
+def _last_of_days(
+    observed: DataFrame, key: str, day: str, tracked: list[str], order: str
+) -> DataFrame:
+    return observed.groupBy(key, day).agg(*[F.max_by(c, order).alias(c) for c in tracked])
+
+
+def _changed(timeline, tracked: list[str]) -> Column:
     first = F.row_number().over(timeline) == 1
-    changed = reduce(or_, [~F.col(c).eqNullSafe(F.lag(c).over(timeline)) for c in tracked])
-    starts = last.withColumn("_new", first | changed).filter("_new")
-    following = F.lead(day).over(timeline)
+    return reduce(or_, [~F.col(c).eqNullSafe(F.lag(c).over(timeline)) for c in tracked], first)
+
+
+def _with_ends(
+    starts: DataFrame, key: str, day: str, tracked: list[str], version: Column
+) -> DataFrame:
+    following = F.lead(day).over(Window.partitionBy(key).orderBy(day))
     return starts.select(
         key,
-        F.row_number().over(timeline).alias("version"),
+        version.alias("version"),
         *tracked,
         F.col(day).alias("valid_from"),
         F.date_sub(following, 1).alias("valid_to"),
         following.isNull().alias("is_current"),
     )
+
+
+@dataclass(frozen=True)
+class VersionTable:
+    """Versions in a folder, dealt to buckets by key and changed bucket by bucket.
+
+    Each change writes the buckets that get a new version to a folder of its own and then one
+    manifest, which names the folder of every bucket; buckets without a change keep their files.
+    Readers go by the newest manifest, so they see a change as a whole or not at all.
+    """
+
+    spark: SparkSession
+    root: str
+    key: str
+    tracked: list[str]
+    buckets: int = 16
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
+
+    def _manifest(self) -> tuple[int, dict[int, str], object]:
+        """Number of the last change, folder of each bucket, and the last day observed."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/manifest")
+        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        numbers = [
+            int(s.getPath().getName()) for s in (fs.listStatus(path) if fs.exists(path) else [])
+            if fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))
+        ]
+        if not numbers:
+            return 0, {}, None
+        rows = self.spark.read.parquet(f"{self.root}/manifest/{max(numbers)}").collect()
+        return max(numbers), {r.bucket: r.folder for r in rows if r.folder}, rows[0].last_day
+
+    def _read(self, folders: dict[int, str]) -> DataFrame | None:
+        if not folders:
+            return None
+        paths = [f"{folder}/bucket={bucket}" for bucket, folder in sorted(folders.items())]
+        return self.spark.read.parquet(*paths)
+
+    def read(self) -> DataFrame | None:
+        """All versions; None before the first change."""
+        return self._read(self._manifest()[1])
+
+    def apply(self, observed: DataFrame, day: str, order: str) -> list[int]:
+        """Merge what was observed on days after all earlier ones; returns the buckets rewritten.
+
+        A key's current version is its first observation, so the result is that of a rebuild. Only
+        keys that differ from it get versions, and only their buckets are read in full and written.
+        Days up to the last one observed are an error: between two observations of a version there
+        is nothing to tell where a late one belongs. Without observations nothing changes.
+        """
+        number, folders, last_day = self._manifest()
+        last = _last_of_days(observed, self.key, day, self.tracked, order)
+        last = checkpointed(last.withColumn("bucket", self._bucket()))
+        seen = last.agg(F.min(day).alias("first"), F.max(day).alias("last")).first()
+        if seen.first is None:
+            return []
+        if last_day is not None and seen.first <= last_day:
+            raise ValueError(f"{seen.first} comes after {last_day} has been observed")
+        met = [r.bucket for r in last.select("bucket").distinct().collect()]  # as many as buckets
+        known = self._read({b: folders[b] for b in met if b in folders})
+        timeline = Window.partitionBy(self.key).orderBy(day)
+        rows = last.select(self.key, day, *self.tracked, F.lit(None).cast("int").alias("_version"))
+        if known is not None:
+            current = known.filter("is_current").select(
+                self.key, F.col("valid_from").alias(day), *self.tracked,
+                F.col("version").alias("_version"),
+            )
+            rows = rows.unionByName(current)
+        starts = checkpointed(
+            rows.withColumn("_new", _changed(timeline, self.tracked)).filter("_new").drop("_new")
+            .withColumn("bucket", self._bucket())
+        )
+        changed = sorted(
+            r.bucket for r in starts.filter("_version IS NULL").select("bucket").distinct().collect()
+        )
+        run = f"{self.root}/runs/{number + 1}-{uuid.uuid4().hex[:8]}"
+        if changed:
+            before = F.coalesce(F.max("_version").over(Window.partitionBy(self.key)), F.lit(1))
+            touched = starts.filter(F.col("bucket").isin(*changed))
+            out = _with_ends(
+                touched, self.key, day, self.tracked,
+                (before + F.row_number().over(timeline) - 1).cast("int"),
+            )
+            old = self._read({b: folders[b] for b in changed if b in folders})
+            if old is not None:
+                out = out.unionByName(old.filter("NOT is_current"))
+            out.withColumn("bucket", self._bucket()).hint("rebalance", "bucket").write.partitionBy(
+                "bucket"
+            ).parquet(run)
+        folders = folders | {b: run for b in changed}
+        self.spark.createDataFrame(
+            [(b, folders.get(b), seen.last) for b in range(self.buckets)],
+            "bucket int, folder string, last_day date",
+        ).coalesce(1).write.parquet(f"{self.root}/manifest/{number + 1}")
+        return changed
