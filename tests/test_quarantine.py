@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tillstar.operators import quarantine
 from tillstar.sources.raw import raw_lines, read_raw_csv
+from tillstar.sources.warehouse import staged
 
 BAD = [
     ({"item_id": "x"}, "unparseable identifier"),
@@ -95,3 +96,10 @@ def test_missing_columns_are_named(spark, write_csv, tmp_path):
 def test_extra_columns_are_dropped(raw):
     frame = raw({}).withColumn("extra", F.lit(1))
     assert "extra" not in raw_lines(frame).columns
+
+
+def test_summary_is_counted_while_rows_are_written(spark, raw, tmp_path):
+    judged = quarantine.judge_lines(raw({"item_id": 1}, {"item_id": 1}, {"item_id": 2, "quantity": 0},
+                             {"item_id": 3, "order_id": 5, "total_price": "1.00"}))
+    written, summary = quarantine.staged_with_summary(judged, lambda df, name: staged(df, str(tmp_path), name))
+    assert summary.collect() == quarantine.run_summary(written).collect() == [(4, 2, 2, 1)]

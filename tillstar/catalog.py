@@ -138,10 +138,9 @@ def _pipeline_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     loaded = warehouse.read_published(spark, root)
     report = quality.quality_report(loaded, categories=RETAIL_CATEGORIES)
     rate = report.filter(F.col("check").startswith("rejection rate"))
-    summary = quarantine.run_summary(star.judged)
     return (
         warehouse.counts(loaded).withColumn("status", F.lit("loaded"))
-        .unionByName(summary.select(F.lit("source").alias("table"),
+        .unionByName(star.summary.select(F.lit("source").alias("table"),
                                     F.col("source_rows").alias("rows"), F.lit("read").alias("status")))
         .unionByName(rate.select(F.lit("rejection rate").alias("table"),
                                  F.col("bad_count").alias("rows"), "status"))
@@ -237,6 +236,13 @@ def _view_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view(spark, "vw_monthly_trend", "year_month")
 
 
+def _tables_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables of the star as a BI tool imports them: by their registered names."""
+    register_views(star_of(spark, sf_dir, "retail"))
+    names = ["dim_date", "dim_time", "dim_item", "dim_ingredient", "bridge_item_ingredient", "fact_order_items"]
+    return warehouse.counts({name: spark.table(name) for name in names})
+
+
 def _extract_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The extract of a view, read back from its CSV files."""
     trend = views.VIEWS["vw_monthly_trend"](star_of(spark, sf_dir, "retail"))
@@ -390,6 +396,7 @@ QUERIES: dict[str, Query] = {
     "write_star": _write_star,
     "loaded_content": _loaded_content,
     "view_by_name": _view_by_name,
+    "tables_by_name": _tables_by_name,
     "extract_read_back": _extract_read_back,
     "load_verification": _load_verification,
     # views

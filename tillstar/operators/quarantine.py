@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tillstar.functions.calendar import is_strict_time, strict_date, timestamp_of
@@ -18,6 +18,7 @@ from tillstar.operators.groups import keep_first, mark_repeats
 from tillstar.schemas import RAW_COLUMNS, SIZE_ORDER
 
 TEXT_COLUMNS = ["item_name_id", "item_size", "item_category", "item_ingredients", "item_name"]
+SUMMARY = ["source_rows", "rejected_rows", "fact_rows", "price_variances"]
 LINE_KEY = ["item_id"]
 LINE_CONTENT = ["order_id", "item_name_id", "order_time", "quantity"]
 
@@ -168,13 +169,29 @@ def reject_summary(judged: DataFrame) -> DataFrame:
     )
 
 
-def run_summary(judged: DataFrame) -> DataFrame:
+def _summary() -> list[Column]:
     good = F.col("reject_reason").isNull()
     total = amount(F.col("unit_price"), F.col("quantity"))
     off = differs(total, F.coalesce(F.col("total_price"), F.lit(0)))
-    return judged.agg(
-        F.count("*").alias("source_rows"),
+    return [
+        F.count(F.lit(1)).alias("source_rows"),
         F.count_if(~good).alias("rejected_rows"),
         F.count_if(good).alias("fact_rows"),
         F.count_if(good & off).alias("price_variances"),
+    ]
+
+
+def run_summary(judged: DataFrame) -> DataFrame:
+    return judged.agg(*_summary())
+
+
+def staged_with_summary(
+    judged: DataFrame, stage: Callable[[DataFrame, str], DataFrame]
+) -> tuple[DataFrame, DataFrame]:
+    """The judged rows, written, and their run summary, counted while they were written."""
+    seen = Observation()
+    written = stage(judged.observe(seen, *_summary()), "outcome")
+    summary = judged.sparkSession.createDataFrame(
+        [tuple(seen.get[c] for c in SUMMARY)], ", ".join(f"{c} bigint" for c in SUMMARY)
     )
+    return written, summary

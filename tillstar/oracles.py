@@ -853,3 +853,4 @@ ORACLES["view_by_name"] = ORACLES["extract_read_back"] = ORACLES["monthly_trend"
 
 # What is kept up to date must be what a rebuild gives.
 ORACLES["scd2_updated"] = ORACLES["scd2_product"]
+ORACLES["tables_by_name"] = ORACLES["write_star"]

@@ -6,7 +6,7 @@ import uuid
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillstar.functions.money import sum_money
@@ -33,7 +33,7 @@ def read_table(spark: SparkSession, folder: str, name: str, noun: str = "item")
         return to_item_names(spark.read.schema(published).parquet(path), noun)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in (e.getCondition() or ""):
-            raise FileNotFoundError(f"{path} missing - build the star schema first") from e
+            raise FileNotFoundError(f"no table at {path}") from e
         raise
 
 
@@ -66,8 +66,9 @@ def publish(
 ) -> str:
     """Full refresh, all or nothing; returns the run name.
 
-    Tables go to a folder of their own, parents first. Row counts and revenue are compared with
-    the source, and only then is one manifest file added. Readers take the newest manifest entry,
+    Tables go to a folder of their own, parents first. Row counts and revenue, taken of the source
+    as it is written, are compared with what can be read back, and only then is one manifest file
+    added. Readers take the newest manifest entry,
     so until that file appears they see the former run, whole. Nothing is overwritten, and a
     failed run leaves no trace for readers.
     """
@@ -75,10 +76,13 @@ def publish(
     run = f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
     folder = f"{root}/runs/{run}"
     order = [t for t in LOAD_ORDER if t in tables] + [t for t in tables if t not in LOAD_ORDER]
+    seen: dict[str, Observation] = {}
     for name in order:
         columns = (partition_by or {}).get(name, [])
         # Few files per partition folder, yet a folder with most of the rows still gets many tasks.
         df = tables[name].hint("rebalance", *columns) if columns else tables[name]
+        seen[name] = Observation(f"{run}-{name}")
+        df = df.observe(seen[name], *_observed(name))
         writer = from_item_names(df, noun).write.mode("overwrite").format(file_format)
         if columns:
             writer = writer.partitionBy(*columns)
@@ -87,19 +91,28 @@ def publish(
         t: to_item_names(spark.read.format(file_format).load(f"{folder}/{table_name(t, noun)}"), noun)
         for t in order
     }
-    report = load_verification(loaded, tables).collect()
-    bad = [r["table"] for r in report if r["status"] != "OK"]
-    if "fact_order_items" in tables and _revenue(loaded) != _revenue(tables):
+    report = [
+        (r["table"], r["rows"], seen[r["table"]].get["rows"]) for r in counts(loaded).collect()
+    ]
+    bad = [t for t, rows, source_rows in report if rows != source_rows]
+    if "fact_order_items" in tables and _revenue(loaded) != seen["fact_order_items"].get["revenue"]:
         bad.append("fact_order_items revenue")
     if bad:
         raise RuntimeError(f"load does not match its source, nothing published: {sorted(bad)}")
-    rows = [(run, datetime.now(timezone.utc), r["table"], r["loaded_rows"]) for r in report]
+    rows = [(run, datetime.now(timezone.utc), t, rows) for t, rows, _ in report]
     spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("append").parquet(
         f"{root}/manifest"
     )
     return run
 
 
+def _observed(name: str) -> list[Column]:
+    rows = [F.count(F.lit(1)).alias("rows")]
+    if name == "fact_order_items":
+        rows.append(sum_money(F.col("total_price")).alias("revenue"))
+    return rows
+
+
 def _revenue(tables: dict[str, DataFrame]):
     return tables["fact_order_items"].agg(sum_money(F.col("total_price"))).first()[0]
 
