@@ -139,7 +139,14 @@ def drop_repeated_spans(docs: DataFrame, size: int = SPAN) -> DataFrame:
         .agg(F.min("_id").alias("first"), F.count("*").alias("rows")).filter("rows > 1")
         .select("a", "b", "first")
     )
-    later = spans.filter("NOT again").join(shared, ["a", "b"]).filter("_id > first")
+    # half of a digest shares a number with the place, which makes the rows to be shuffled shorter
+    packed = F.shiftleft(F.col("b").cast("bigint"), 32).bitwiseOR(F.col("at").cast("bigint"))
+    firsts = spans.filter("NOT again").select("_id", "_text", "a", packed.alias("b_at"))
+    b, at = F.shiftright("b_at", 32).cast("int"), F.col("b_at").bitwiseAND((1 << 31) - 1).cast("int")
+    later = (
+        firsts.join(shared, (firsts["a"] == shared["a"]) & (b == shared["b"]))
+        .filter("_id > first").withColumn("at", at)
+    )
     of = [F.col("_id").alias("_of"), F.col("_text").alias("_key")]
     nothing = F.lit(None).cast("int")
     own = spans.filter("again OR at = 0").select(  # each row with a span has one at 0, its first
