@@ -35,10 +35,12 @@ def _cut(sentence: Column) -> Column:
     """
 
     def ends_part(word: Column) -> Column:
-        plain = F.btrim(word, F.lit(" \t\r\n"))
-        first = F.ascii(plain)
-        lowered = F.when(first.between(65, 90), first + 32).otherwise(first)
-        return (lowered + F.char_length(plain)) % 6 == 0
+        def picked(plain: Column) -> Column:
+            first = F.ascii(plain)
+            lowered = F.when(first.between(65, 90), first + 32).otherwise(first)
+            return (lowered + F.char_length(plain)) % 6 == 0
+
+        return _let(F.btrim(word, F.lit(" \t\r\n")), picked)
 
     def parts(words: Column) -> Column:
         last = F.size(words)
@@ -56,10 +58,12 @@ def _cut(sentence: Column) -> Column:
         return _let(ends, of_ends)
 
     words = F.regexp_extract_all(sentence, F.lit(WORD), 0)
-    return _let(
+    cut = _let(
         words,
         lambda w: F.when(F.size(w) <= LONG_SENTENCE, F.array(sentence)).otherwise(parts(w)),
     )
+    # so few characters cannot be more words than that
+    return F.when(F.char_length(sentence) <= 2 * LONG_SENTENCE, F.array(sentence)).otherwise(cut)
 
 
 def sentences(text: Column) -> Column:
