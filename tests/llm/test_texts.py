@@ -229,5 +229,17 @@ def test_sentences_put_together_are_the_text(odd):
     assert odd.filter(joined != F.coalesce("text", F.lit(""))).count() == 0
 
 
+def test_scan_finds_the_same_sentences(docs):
+    texts = [
+        "", "x" * 300_000, "word " * 100_000, ".", " . ", "\n \n", "a \n b", "a.\n \n. b\r\n c", "..a..",
+        "第一。 第二！！\t第三", "one? two\x00three. four", "tail without a mark\u2028here", "! ! !",
+    ]
+    rows = docs(*ODD, *enumerate(texts, 100))
+    slow, fast = (
+        F.regexp_extract_all("text", F.lit(p), 0) for p in (spans.SENTENCE, spans.SENTENCE_SCAN)
+    )
+    assert rows.filter(~slow.eqNullSafe(fast)).count() == 0
+
+
 def test_sentence_spans_of_nothing(empty):
     assert spans.drop_repeated_spans(empty).collect() == []
