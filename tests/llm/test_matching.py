@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 import re
 from collections import Counter
@@ -11,7 +12,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from text_cases import ODD
-from tillstar.llm import components, decontaminate, simhash, suffixes
+from tillstar.llm import catalog, components, decontaminate, simhash, suffixes
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -108,6 +109,18 @@ def test_repeats(docs, seed):
     assert got == brute_repeats(rows)
 
 
+def test_repeats_of_the_query(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    expected = Counter()
+    for (i, size, gone, n_spans, kept), n in brute_repeats(rows).items():
+        expected[i, size, gone, n_spans, hashlib.sha256(kept).hexdigest()] += n
+    got = catalog.op5_suffixes(spark, sf_dir).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"
+    )
+    assert Counter(map(tuple, got.collect())) == expected
+
+
 def test_repeats_of_nothing(empty):
     assert suffixes.remove_repeats(empty).collect() == []
 
