@@ -103,3 +103,31 @@ def test_summary_is_counted_while_rows_are_written(spark, raw, tmp_path):
                              {"item_id": 3, "order_id": 5, "total_price": "1.00"}))
     written, summary = quarantine.staged_with_summary(judged, lambda df, name: staged(df, str(tmp_path), name))
     assert summary.collect() == quarantine.run_summary(written).collect() == [(4, 2, 2, 1)]
+
+
+@pytest.mark.parametrize("broadcast_rows", [10**9, 0])
+def test_written_rows_are_judged_without_a_shuffle_of_rows(spark, raw, tmp_path, monkeypatch, broadcast_rows):
+    monkeypatch.setattr(quarantine, "BROADCAST_ROWS", broadcast_rows)
+    rows = [
+        {"item_id": "x" if i % 11 == 3 else i % 70, "order_id": i % 9, "quantity": i % 4,
+         "item_name_id": "ab"[i % 2]}
+        for i in range(200)
+    ]
+    frame = raw(*rows).repartition(5)
+    want = reasons(quarantine.judge_lines(frame))
+    judged = quarantine.judge_lines(frame, stage=lambda df, name: staged(df, str(tmp_path), name))
+    assert reasons(judged) == want and len(set(want.values())) == 5 and judged.columns.count("_row") == 1
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = quarantine.rejected_rows(judged)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert ("SortMergeJoin" in plan) == (broadcast_rows == 0)
+
+
+def test_known_keys_count_as_seen(spark, raw):
+    reason = "duplicate item_id"
+    known = {reason: spark.createDataFrame([(1,)], "item_id bigint")}
+    got = reasons(quarantine.judge_lines(raw({"item_id": 1}, {"item_id": 2, "order_id": 2}), known=known))
+    assert got == {0: reason, 1: None}

@@ -1,7 +1,7 @@
 """Parse raw text rows, give each bad row the first rule it breaks, keep the rest.
 
 Rules apply in order and each sees only what the earlier ones left. The rules on single rows are
-one expression; the two duplicate rules each add one pass, over rows that are still good.
+one expression; the two duplicate rules each add one pass, over the keys of rows that are still good.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tillstar.functions.calendar import is_strict_time, strict_date, timestamp_of
 from tillstar.functions.money import amount, differs
 from tillstar.functions.text import title_case, with_clean_text
-from tillstar.operators.groups import keep_first, mark_repeats
+from tillstar.operators.groups import keep_first
 from tillstar.schemas import RAW_COLUMNS, SIZE_ORDER
 
 TEXT_COLUMNS = ["item_name_id", "item_size", "item_category", "item_ingredients", "item_name"]
@@ -22,6 +22,9 @@ SUMMARY = ["source_rows", "rejected_rows", "fact_rows", "price_variances"]
 LINE_KEY = ["item_id"]
 LINE_CONTENT = ["order_id", "item_name_id", "order_time", "quantity"]
 
+#: Up to so many rows, the bitmaps of what a duplicate rule keeps (a bit for each row) are broadcast.
+BROADCAST_ROWS = 1_000_000_000
+
 
 def _number(c: Column) -> Column:
     return F.trim(c).try_cast("decimal(38,10)")
@@ -97,31 +100,57 @@ def judge_lines(
 ) -> DataFrame:
     """Every raw row, typed, with ``reject_reason`` (NULL for good rows).
 
-    ``order`` must be unique per row. The duplicate rules run on the key columns alone; the few
-    repeats they find are then joined to the rows by ``order``. ``stage`` writes the parsed rows
-    once, so that none of this parses text again. ``known`` has, for a duplicate rule's reason,
-    keys that count as seen before the first row.
+    ``order`` must be unique per row. A duplicate rule looks at its key columns alone, of the rows
+    that the rules before it left. ``stage`` writes the parsed rows once, so that none of this
+    parses text again; rows get numbers as they are written, and what a rule keeps comes back as
+    bitmaps over these numbers, so the rows themselves are not shuffled. Without ``stage`` it is
+    joined by ``order``. ``known`` has, for a duplicate rule's reason, keys that count as seen
+    before the first row.
     """
     typed = parse_lines(raw).withColumn("reject_reason", first_reason(noun))
-    typed = stage(typed, "judged") if stage else typed
-    keys = typed.select(order, *dict.fromkeys([*LINE_KEY, *LINE_CONTENT]), "reject_reason")
-    for reason, columns in duplicate_reasons(noun):
-        alive = F.col("reject_reason").isNull()
+    row, columns = order, typed.columns
+    if stage:
+        row = "_place"
+        typed = stage(typed.withColumn(row, F.monotonically_increasing_id()), "judged")
+    small = bool(stage) and typed.count() <= BROADCAST_ROWS
+    for reason, keys in duplicate_reasons(noun):
+        left = typed.filter("reject_reason IS NULL").select(*dict.fromkeys([order, row, *keys]))
         if reason in (known or {}):
-            seen = known[reason].distinct().withColumn("_seen", F.lit(reason))
-            keys = keys.join(seen, columns, "left").withColumn(
-                "reject_reason", F.coalesce("reject_reason", "_seen")
-            ).drop("_seen")
-        marked = mark_repeats(keys, columns, order, alive, "_repeat")
-        keys = marked.withColumn(
-            "reject_reason", F.when(F.col("_repeat"), reason).otherwise(F.col("reject_reason"))
-        ).drop("_repeat")
-    repeats = keys.filter(
-        F.col("reject_reason").isin(*[reason for reason, _ in duplicate_reasons(noun)])
-    ).select(order, F.col("reject_reason").alias("_repeat"))
-    return typed.join(repeats, order, "left").withColumn(
-        "reject_reason", F.coalesce("reject_reason", "_repeat")
-    ).drop("_repeat")
+            left = left.join(known[reason], keys, "left_anti")
+        kept = keep_first(left, keys, [order]).select(row)
+        typed = _kept_by_bits(typed, kept, row, small) if stage else _kept_by_join(typed, kept, row)
+        typed = typed.withColumn(
+            "reject_reason", F.when(F.col("_kept"), F.col("reject_reason")).otherwise(
+                F.coalesce("reject_reason", F.lit(reason))
+            )
+        ).drop("_kept")
+    return typed.select(*columns)
+
+
+def _kept_by_join(rows: DataFrame, kept: DataFrame, row: str) -> DataFrame:
+    """Rows with ``_kept``: is the row among ``kept``? ``row`` is unique."""
+    flagged = kept.withColumn("_kept", F.lit(True))
+    return rows.join(flagged, row, "left").withColumn("_kept", F.coalesce("_kept", F.lit(False)))
+
+
+def _kept_by_bits(rows: DataFrame, kept: DataFrame, row: str, small: bool) -> DataFrame:
+    """The same by bitmaps of 32,768 numbers each, for rows that are written and numbered.
+
+    Numbers are shuffled before bitmaps are made of them: combined on the map side, every task
+    would send a part of every bitmap.
+    """
+    bucket, position = F.bitmap_bucket_number(F.col(row)), F.bitmap_bit_position(F.col(row))
+    numbers = kept.select(bucket.alias("_bucket"), position.alias("_at")).repartition("_bucket")
+    bits = numbers.groupBy("_bucket").agg(F.bitmap_construct_agg("_at").alias("_bits"))
+    # Bit 0 is the lowest of the first byte; a missing bitmap has no bits.
+    byte = F.hex(F.substring("_bits", F.shiftright(position, 3).cast("int") + 1, F.lit(1)))
+    bit = F.getbit(F.conv(byte, 16, 10).cast("bigint"), F.pmod(position, F.lit(8)).cast("int"))
+    return (
+        rows.withColumn("_bucket", bucket)
+        .join(F.broadcast(bits) if small else bits, "_bucket", "left")
+        .withColumn("_kept", F.coalesce(bit == 1, F.lit(False)))
+        .drop("_bucket", "_bits")
+    )
 
 
 def rejected_rows(judged: DataFrame) -> DataFrame:

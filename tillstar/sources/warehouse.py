@@ -18,7 +18,7 @@ MANIFEST = "run string, published_at timestamp, table string, rows bigint"
 def staged(df: DataFrame, folder: str, name: str) -> DataFrame:
     """Write a table and go on from the written copy: short lineage, exact sizes for joins."""
     path = f"{folder}/{name}"
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
