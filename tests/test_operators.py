@@ -117,6 +117,22 @@ def test_one_pair_join_whatever_the_baskets(spark):
     assert pairs.count() == 1500 * 1499 // 2
 
 
+def test_pairs_that_share_too_little_stay_in_the_join(spark):
+    rng = random.Random(4)
+    rows = {(b, c) for c in range(120) for b in rng.sample(range(400), 15)}
+    rows |= {(b, c) for c in (120, 121) for b in range(15 + c - 120)}  # two alike
+    rows |= {(b, 122) for b in range(400)}  # more baskets than a signature has bits
+    df = spark.createDataFrame(sorted(rows, key=str), "basket int, code int")
+    of = defaultdict(set)
+    for b, c in rows:
+        of[c].add(b)
+    want = {(a, b): len(of[a] & of[b]) for a, b in combinations(sorted(of), 2)}
+    counted = affinity.pair_counts(df, 6, block=7)
+    assert {(r.a, r.b): r.orders_together for r in counted.collect()} == {p: n for p, n in want.items() if n >= 6}
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert "bit_count" in next(line for line in plan.splitlines() if "Join " in line)
+
+
 @pytest.mark.parametrize("digit_bits", [3, 16])
 def test_quantiles_by_digits_match_numpy(spark, digit_bits):
     rng = random.Random(6)
