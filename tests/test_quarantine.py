@@ -131,3 +131,12 @@ def test_known_keys_count_as_seen(spark, raw):
     known = {reason: spark.createDataFrame([(1,)], "item_id bigint")}
     got = reasons(quarantine.judge_lines(raw({"item_id": 1}, {"item_id": 2, "order_id": 2}), known=known))
     assert got == {0: reason, 1: None}
+
+
+def test_written_or_not_rows_that_share_their_order_come_out_alike(spark, raw, tmp_path):
+    rows = [{"item_id": i % 6, "order_id": i % 4, "quantity": i % 3} for i in range(24)]
+    frame = raw(*rows)
+    twice = frame.unionByName(frame.filter("_row % 5 < 2"))
+    want = Counter((r._row, r.reject_reason) for r in quarantine.judge_lines(twice).collect())
+    written = quarantine.judge_lines(twice, stage=lambda df, name: staged(df, str(tmp_path), name))
+    assert Counter((r._row, r.reject_reason) for r in written.collect()) == want
