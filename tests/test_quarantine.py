@@ -123,7 +123,8 @@ def test_written_rows_are_judged_without_a_shuffle_of_rows(spark, raw, tmp_path,
         plan = quarantine.rejected_rows(judged)._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-    assert ("SortMergeJoin" in plan) == (broadcast_rows == 0)
+    # The one join by order is with the orders that several repeats share: a written table, as a rule empty.
+    assert plan.count("SortMergeJoin [") == (1 if broadcast_rows else 3)
 
 
 def test_known_keys_count_as_seen(spark, raw):
