@@ -40,3 +40,21 @@ def test_copies_of_a_line_differ_by_place_only(spark, retail):
     first, second = sorted((r for r in rows if r.item_id == "12"), key=lambda r: r._row.place)
     assert first._row != second._row and first[:12] == second[:12]
     assert [r.item_id for r in tables.retail_lines(spark, retail).orderBy("item_id").collect()] == [12, 21]
+
+
+def test_csv_files_hold_the_lines_in_order(spark, retail):
+    from tillstar import catalog
+    from tillstar.schemas import RAW_COLUMNS
+    from tillstar.sources.raw import read_raw_csv
+
+    path = catalog._csv_files(spark, retail)
+    read = read_raw_csv(spark, path)
+    assert all(f.endswith(".csv.gz") for f in read.inputFiles())
+    want = tables.retail_text(spark, retail).orderBy("_row").select(*RAW_COLUMNS).collect()
+    assert read.orderBy("_row").select(*RAW_COLUMNS).collect() == want
+
+
+def test_only_lines_without_text_are_dealt_to_files(spark, retail):
+    dealt = tables.dated_lines(spark, retail)
+    assert not {"item_name", "item_ingredients", "_row"} & set(dealt.columns)
+    assert tables.as_text(dealt).collect() == tables.retail_text(spark, retail).collect()

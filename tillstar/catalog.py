@@ -115,13 +115,16 @@ def _csv_files(spark: SparkSession, sf_dir: str) -> str:
     """The raw text lines as CSV files in the shared folder, in the order of their copies.
 
     Copies are told by file name and place in the file. Lines are dealt in ranges of that order, so
-    every task writes its share; part files are numbered as the ranges are.
+    every task writes its share; part files are numbered as the ranges are. Text is made of the lines
+    after they are dealt, and the files are compressed.
     """
     folder = new_folder(spark, "raw-csv")
-    raw = src.retail_text(spark, sf_dir)
-    ranges = raw.repartitionByRange("_row").sortWithinPartitions("_row")
-    ranges.select(*RAW_COLUMNS).write.options(
+    order = [*src.LINE_ORDER, "place"]
+    dated = src.dated_lines(spark, sf_dir)
+    ranges = dated.repartitionByRange(*order).sortWithinPartitions(*order)
+    src.as_text(ranges).select(*RAW_COLUMNS).write.options(
         header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+        compression="gzip",
     ).csv(folder)
     return folder
 

@@ -101,15 +101,28 @@ def retail_text(
     taken right at the scan, so a retried task numbers its rows the same way. ``lines`` may be a
     stream of ``lineitem``. Dates are joined first, so that no text is shuffled along.
     """
+    return as_text(dated_lines(spark, sf_dir, lines))
+
+
+def dated_lines(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
+    """What :func:`as_text` needs of the lines, their orders and parts, as the tables have it."""
     lines = table(spark, sf_dir, "lineitem") if lines is None else lines
     lines = lines.withColumn("place", F.monotonically_increasing_id())
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    parts = table(spark, sf_dir, "part").select("p_partkey", "p_type", *[
-        c.alias(n) for n, c in _product_columns().items() if n != "item_category"
-    ])
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
     joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
         parts, F.col("l_partkey") == F.col("p_partkey")
     )
+    return joined.select(
+        "l_orderkey", *LINE_ORDER, "place", "o_orderdate", "p_name", "p_brand", "p_type", "p_size"
+    )
+
+
+def as_text(dated: DataFrame) -> DataFrame:
+    """The twelve raw text columns and ``_row`` of :func:`dated_lines`; row by row."""
+    joined = dated.withColumn("p_partkey", F.col("l_partkey")).withColumns(
+        {n: c for n, c in _product_columns().items() if n != "item_category"}
+    )
     key = F.col("l_orderkey")
     mixed = key + F.col("l_suppkey")
     spoilt_date = F.when(key % 97 == 1, F.date_format("o_orderdate", "yyyy/MM/dd"))
