@@ -59,6 +59,25 @@ def test_clean_lines_are_the_good_lines(raw):
     assert summary.rejected_rows == quarantine.rejected_rows(judged).count()
 
 
+def test_clean_lines_shuffle_keys_alone_where_rows_are_written(raw, tmp_path):
+    frame = raw(*[
+        {"item_id": i % 7, "order_id": i % 3, "quantity": i % 4, "item_size": "ml"[i % 2]} for i in range(60)
+    ]).repartition(3)
+    names = []
+
+    def stage(df, name):
+        names.append(name)
+        text = df._jdf.queryExecution().executedPlan().toString()
+        if name.startswith("kept"):
+            assert "item_ingredients" not in text.split("Window ")[0]
+        return staged(df, str(tmp_path), name)
+
+    written = quarantine.clean_lines(frame, stage=stage)
+    assert "Window" not in written._jdf.queryExecution().executedPlan().toString()
+    assert Counter(written.collect()) == Counter(quarantine.clean_lines(frame).collect())
+    assert names == ["good", "kept-0", "kept-1"]
+
+
 def test_rejected_rows_keep_the_raw_text(raw):
     got = quarantine.rejected_rows(quarantine.judge_lines(raw({"item_size": " q "}))).first()
     assert got.item_size == " q " and got.reject_reason == "unknown item_size"

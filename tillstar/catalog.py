@@ -61,6 +61,13 @@ def _judged(plan: Callable[[DataFrame], DataFrame]) -> Query:
 # --- cleaning --------------------------------------------------------------------------------
 
 
+def _clean_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "clean")
+    return quarantine.clean_lines(
+        src.retail_text(spark, sf_dir), stage=lambda df, name: warehouse.staged(df, folder, name)
+    )
+
+
 def _dedup_line_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = src.table(spark, sf_dir, "lineitem")
     return keep_first(lines, ["l_orderkey", "l_linenumber"], src.LINE_ORDER).select(
@@ -381,7 +388,7 @@ QUERIES: dict[str, Query] = {
     "raw_csv_scan": _raw_csv_scan,
     "pipeline_tables": _pipeline_tables,
     "quarantine_rows": _judged(quarantine.rejected_rows),
-    "clean_rows": lambda spark, sf_dir: quarantine.clean_lines(src.retail_text(spark, sf_dir)),
+    "clean_rows": _clean_rows,
     "reject_summary": _judged(quarantine.reject_summary),
     "run_summary": _judged(quarantine.run_summary),
     "dedup_line_key": _dedup_line_key,

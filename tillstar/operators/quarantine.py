@@ -23,6 +23,11 @@ TEXT_COLUMNS = ["item_name_id", "item_size", "item_category", "item_ingredients"
 SUMMARY = ["source_rows", "rejected_rows", "fact_rows", "price_variances"]
 LINE_KEY = ["item_id"]
 LINE_CONTENT = ["order_id", "item_name_id", "order_time", "quantity"]
+#: What :func:`with_amounts` reads.
+CLEAN_COLUMNS = [
+    "item_id", "order_id", "item_name_id", "order_ts", "quantity", "unit_price", "total_price",
+    "item_size", "item_category", "item_ingredients", "item_name",
+]
 
 #: Up to so many rows, the bitmaps of what a duplicate rule keeps (a bit for each row) are broadcast.
 BROADCAST_ROWS = 1_000_000_000
@@ -205,11 +210,29 @@ def good_lines(judged: DataFrame) -> DataFrame:
     return with_amounts(judged.filter(F.col("reject_reason").isNull()))
 
 
-def clean_lines(raw: DataFrame, order: str = "_row", noun: str = "item") -> DataFrame:
-    """Only the good rows. Cheaper than :func:`judge_lines`: repeats die before the shuffle."""
+def clean_lines(
+    raw: DataFrame, order: str = "_row", noun: str = "item",
+    stage: Callable[[DataFrame, str], DataFrame] | None = None,
+) -> DataFrame:
+    """Only the good rows. Cheaper than :func:`judge_lines`: repeats die before the shuffle.
+
+    ``stage`` writes the rows that the rules on single rows leave once. The duplicate rules then
+    shuffle keys alone, and what they keep comes back as bitmaps over the written rows.
+    """
     good = parse_lines(raw).filter(first_reason(noun).isNull()).drop("raw")
-    for _, keys in duplicate_reasons(noun):
-        good = keep_first(good, keys, [order])
+    rules = [keys for _, keys in duplicate_reasons(noun)]
+    if stage is None:
+        for keys in rules:
+            good = keep_first(good, keys, [order])
+        return with_amounts(good)
+    row = "_place"
+    needed = dict.fromkeys([order, *LINE_KEY, *LINE_CONTENT, *CLEAN_COLUMNS])
+    good = stage(good.select(*needed, F.monotonically_increasing_id().alias(row)), "good")
+    small = good.count() <= BROADCAST_ROWS
+    for number, keys in enumerate(rules):
+        kept = keep_first(good.select(*dict.fromkeys([order, row, *keys])), keys, [order])
+        bits = stage(_bitmaps(kept, row), f"kept-{number}")
+        good = _kept_by_bits(good, bits, row, small).filter("_kept").drop("_kept")
     return with_amounts(good)
 
 
