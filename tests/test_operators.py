@@ -232,3 +232,19 @@ def test_versions_kept_up_to_date_are_those_of_a_rebuild(spark, tmp_path):
     assert len(changed) == 1  # the other key is as it was
     kept = {f for f in before if f"bucket={changed[0]}/" not in f}
     assert kept and kept <= files()
+
+
+def test_ended_versions_are_not_written_again(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(history, "MERGED_FOLDERS", 3)
+    table = history.VersionTable(spark, str(tmp_path), "k", ["v"], buckets=1)
+    rows, folders = [], []
+    for i in range(8):
+        rows.append(("k", f"2015-01-{i + 1:02d}", i, i))
+        df = spark.createDataFrame(rows, "k string, d string, n int, v int").withColumn("d", F.col("d").cast("date"))
+        table.apply(df.filter(F.col("n") == i), "d", "n")
+        written = spark.read.parquet(table._manifest()[1][0][-1]).count()
+        folders.append((written, len(table._manifest()[1][0])))
+        want = history.versions(df, "k", "d", ["v"], "n")
+        assert Counter(table.read().select(want.columns).collect()) == Counter(want.collect())
+    # the current version and the one that ended; all of them where the folders are put together
+    assert folders == [(1, 1), (2, 2), (2, 3), (4, 1), (2, 2), (2, 3), (7, 1), (2, 2)]

@@ -191,11 +191,13 @@ def _scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _scd2_updated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same versions, kept up to date year by year instead of rebuilt."""
     lines = src.retail_lines(spark, sf_dir).withColumn("day", F.col("order_ts").cast("date"))
-    lines = warehouse.staged(lines, new_folder(spark, "scd2-lines"), "lines")
+    lines = lines.select("item_name_id", "day", "item_id", *TRACKED, F.year("day").alias("year"))
+    folder = new_folder(spark, "scd2-lines")
+    lines.write.partitionBy("year").option("compression", "zstd").parquet(folder)
+    lines = spark.read.schema(lines.schema).parquet(folder)  # a year reads its own files
     table = history.VersionTable(spark, new_folder(spark, "scd2"), "item_name_id", TRACKED)
-    year = F.year("day")
-    for r in lines.select(year.alias("year")).distinct().orderBy("year").collect():
-        table.apply(lines.filter(year == r.year), "day", "item_id")
+    for r in lines.select("year").distinct().orderBy("year").collect():
+        table.apply(lines.filter(F.col("year") == r.year), "day", "item_id")
     return table.read()
 
 

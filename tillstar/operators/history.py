@@ -11,7 +11,11 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillstar.session import checkpointed
+from tillstar.session import shared_dir
+from tillstar.sources.warehouse import staged
+
+#: A bucket of so many folders is put together in the next one.
+MERGED_FOLDERS = 16
 
 
 def versions(
@@ -32,7 +36,8 @@ def versions(
 def _last_of_days(
     observed: DataFrame, key: str, day: str, tracked: list[str], order: str
 ) -> DataFrame:
-    return observed.groupBy(key, day).agg(*[F.max_by(c, order).alias(c) for c in tracked])
+    last = observed.groupBy(key, day).agg(F.max_by(F.struct(*tracked), order).alias("_last"))
+    return last.select(key, day, *[F.col(f"_last.{c}").alias(c) for c in tracked])
 
 
 def _changed(timeline, tracked: list[str]) -> Column:
@@ -41,7 +46,7 @@ def _changed(timeline, tracked: list[str]) -> Column:
 
 
 def _with_ends(
-    starts: DataFrame, key: str, day: str, tracked: list[str], version: Column
+    starts: DataFrame, key: str, day: str, tracked: list[str], version: Column, *more: Column
 ) -> DataFrame:
     following = F.lead(day).over(Window.partitionBy(key).orderBy(day))
     return starts.select(
@@ -51,6 +56,7 @@ def _with_ends(
         F.col(day).alias("valid_from"),
         F.date_sub(following, 1).alias("valid_to"),
         following.isNull().alias("is_current"),
+        *more,
     )
 
 
@@ -58,8 +64,10 @@ def _with_ends(
 class VersionTable:
     """Versions in a folder, dealt to buckets by key and changed bucket by bucket.
 
-    Each change writes the buckets that get a new version to a folder of its own and then one
-    manifest, which names the folder of every bucket; buckets without a change keep their files.
+    Each change writes, of the buckets that get a new version, the current versions and those that
+    ended with it to a folder of its own, and then one manifest, which names the folders of every
+    bucket; buckets without a change keep their files. In a bucket's older folders the ended versions
+    stay good, which are not written again until the folders are many, and current ones are out of date.
     Readers go by the newest manifest, so they see a change as a whole or not at all.
     """
 
@@ -72,8 +80,8 @@ class VersionTable:
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
 
-    def _manifest(self) -> tuple[int, dict[int, str], object]:
-        """Number of the last change, folder of each bucket, and the last day observed."""
+    def _manifest(self) -> tuple[int, dict[int, list[str]], object]:
+        """Number of the last change, folders of each bucket, and the last day observed."""
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/manifest")
         fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
         numbers = [
@@ -83,13 +91,22 @@ class VersionTable:
         if not numbers:
             return 0, {}, None
         rows = self.spark.read.parquet(f"{self.root}/manifest/{max(numbers)}").collect()
-        return max(numbers), {r.bucket: r.folder for r in rows if r.folder}, rows[0].last_day
+        return max(numbers), {r.bucket: r.folders for r in rows if r.folders}, rows[0].last_day
 
-    def _read(self, folders: dict[int, str]) -> DataFrame | None:
+    def _newest(self, folders: dict[int, list[str]]) -> DataFrame | None:
+        """The newest folder of each bucket: it has all current versions."""
         if not folders:
             return None
-        paths = [f"{folder}/bucket={bucket}" for bucket, folder in sorted(folders.items())]
-        return self.spark.read.parquet(*paths)
+        return self.spark.read.parquet(
+            *[f"{runs[-1]}/bucket={bucket}" for bucket, runs in sorted(folders.items())]
+        )
+
+    def _read(self, folders: dict[int, list[str]]) -> DataFrame | None:
+        newest = self._newest(folders)
+        older = [f"{run}/bucket={bucket}" for bucket, runs in sorted(folders.items()) for run in runs[:-1]]
+        if not older:
+            return newest
+        return newest.unionByName(self.spark.read.parquet(*older).filter("NOT is_current"))
 
     def read(self) -> DataFrame | None:
         """All versions; None before the first change."""
@@ -99,20 +116,21 @@ class VersionTable:
         """Merge what was observed on days after all earlier ones; returns the buckets rewritten.
 
         A key's current version is its first observation, so the result is that of a rebuild. Only
-        keys that differ from it get versions, and only their buckets are read in full and written.
+        keys that differ from it get versions, and only their buckets are written.
         Days up to the last one observed are an error: between two observations of a version there
         is nothing to tell where a late one belongs. Without observations nothing changes.
         """
         number, folders, last_day = self._manifest()
         last = _last_of_days(observed, self.key, day, self.tracked, order)
-        last = checkpointed(last.withColumn("bucket", self._bucket()))
+        scratch = f"{shared_dir(self.spark)}/versions-{uuid.uuid4().hex[:8]}"
+        last = staged(last.withColumn("bucket", self._bucket()), scratch, "last")
         seen = last.agg(F.min(day).alias("first"), F.max(day).alias("last")).first()
         if seen.first is None:
             return []
         if last_day is not None and seen.first <= last_day:
             raise ValueError(f"{seen.first} comes after {last_day} has been observed")
         met = [r.bucket for r in last.select("bucket").distinct().collect()]  # as many as buckets
-        known = self._read({b: folders[b] for b in met if b in folders})
+        known = self._newest({b: folders[b] for b in met if b in folders})
         timeline = Window.partitionBy(self.key).orderBy(day)
         rows = last.select(self.key, day, *self.tracked, F.lit(None).cast("int").alias("_version"))
         if known is not None:
@@ -121,30 +139,31 @@ class VersionTable:
                 F.col("version").alias("_version"),
             )
             rows = rows.unionByName(current)
-        starts = checkpointed(
-            rows.withColumn("_new", _changed(timeline, self.tracked)).filter("_new").drop("_new")
-            .withColumn("bucket", self._bucket())
+        starts = rows.withColumn("_new", _changed(timeline, self.tracked)).filter("_new")
+        before = F.coalesce(F.max("_version").over(Window.partitionBy(self.key)), F.lit(1))
+        ended = staged(
+            _with_ends(
+                starts, self.key, day, self.tracked,
+                (before + F.row_number().over(timeline) - 1).cast("int"),
+                F.col("_version").isNull().alias("_fresh"), self._bucket().alias("bucket"),
+            ),
+            scratch, "ended",
         )
         changed = sorted(
-            r.bucket for r in starts.filter("_version IS NULL").select("bucket").distinct().collect()
+            r.bucket for r in ended.filter("_fresh").select("bucket").distinct().collect()
         )
         run = f"{self.root}/runs/{number + 1}-{uuid.uuid4().hex[:8]}"
+        many = {b: folders[b] for b in changed if len(folders.get(b, [])) >= MERGED_FOLDERS}
         if changed:
-            before = F.coalesce(F.max("_version").over(Window.partitionBy(self.key)), F.lit(1))
-            touched = starts.filter(F.col("bucket").isin(*changed))
-            out = _with_ends(
-                touched, self.key, day, self.tracked,
-                (before + F.row_number().over(timeline) - 1).cast("int"),
-            )
-            old = self._read({b: folders[b] for b in changed if b in folders})
-            if old is not None:
-                out = out.unionByName(old.filter("NOT is_current"))
+            out = ended.filter(F.col("bucket").isin(*changed)).drop("_fresh", "bucket")
+            if many:
+                out = out.unionByName(self._read(many).filter("NOT is_current"))
             out.withColumn("bucket", self._bucket()).hint("rebalance", "bucket").write.partitionBy(
                 "bucket"
             ).parquet(run)
-        folders = folders | {b: run for b in changed}
+        folders = folders | {b: [*([] if b in many else folders.get(b, [])), run] for b in changed}
         self.spark.createDataFrame(
             [(b, folders.get(b), seen.last) for b in range(self.buckets)],
-            "bucket int, folder string, last_day date",
+            "bucket int, folders array<string>, last_day date",
         ).coalesce(1).write.parquet(f"{self.root}/manifest/{number + 1}")
         return changed
