@@ -58,3 +58,14 @@ def test_only_lines_without_text_are_dealt_to_files(spark, retail):
     dealt = tables.dated_lines(spark, retail)
     assert not {"item_name", "item_ingredients", "_row"} & set(dealt.columns)
     assert tables.as_text(dealt).collect() == tables.retail_text(spark, retail).collect()
+
+
+def test_recipe_flags_read_the_lines_once(spark, retail):
+    from tillstar import catalog
+
+    found = catalog.QUERIES["recipe_flags"](spark, retail)
+    assert not [f for f in found.inputFiles() if "/lineitem.parquet" in f]
+    assert {(r.name, r.ingredient_count, r.flag) for r in found.collect()} == {
+        ("brand#1_7_s", 3, True), ("brand#2_8_xxl", 2, True),
+        ("Hot", 1, False), ("Bolt", 1, False), ("Cheese", 1, True), ("Red", 1, False), ("Ring", 1, False),
+    }

@@ -276,17 +276,31 @@ def _supplier_affinity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _recipe_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Meat and cheese flags, with meat in every fifth recipe and cheese in every seventh."""
+    """Meat and cheese flags, with meat in every fifth recipe and cheese in every seventh.
+
+    Each step is written once, as in the star build, so the lines are joined and deduplicated once.
+    """
     part = F.regexp_extract("item_name_id", r"_(\d+)_", 1).cast("int")
     lines = src.retail_lines(spark, sf_dir).withColumn("item_ingredients", F.concat(
         "item_ingredients",
         F.when(part % 5 == 0, ", hAM").otherwise(""),
         F.when(part % 7 == 0, ",CHEESE ").otherwise(""),
     ))
-    items = dimensions.item_dimension(
-        dimensions.item_attributes(lines, size_suffix=src.RETAIL_SUFFIX)
+    folder = new_folder(spark, "recipe-flags")
+
+    def stage(df: DataFrame, name: str) -> DataFrame:
+        return warehouse.staged(df, folder, name)
+
+    lines = stage(lines.select(
+        "item_id", "item_name_id", "item_name", "item_category", "item_size", "item_ingredients",
+        "unit_price",
+    ), "lines")
+    attributes = stage(
+        dimensions.item_attributes(lines, size_suffix=src.RETAIL_SUFFIX), "item_attributes"
     )
-    names = dimensions.ingredient_dimension(dimensions.recipe_parts(items))
+    items = stage(dimensions.item_dimension(attributes), "dim_item")
+    parts = stage(dimensions.recipe_parts(items), "recipe_parts")
+    names = dimensions.ingredient_dimension(parts)
     return items.select(
         F.col("item_name_id").alias("name"), "ingredient_count",
         F.col("is_vegetarian").alias("flag"),
