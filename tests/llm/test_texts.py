@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -241,5 +242,20 @@ def test_scan_finds_the_same_sentences(docs):
     assert rows.filter(~slow.eqNullSafe(fast)).count() == 0
 
 
+def test_ascii_patterns_find_the_same_parts(docs):
+    rng = random.Random(5)
+    pick = lambda: rng.choice(["", "\t"]) + "".join(rng.choices("aBcZ09'(-", k=rng.randrange(1, 15)))
+    texts = ["", " ", "word " * 20_000, "x" * 50_000, " \r " * 9 + "a", ".", "a.b. c.\n.\n d", " \n " * 20]
+    texts += [" ".join(pick() for _ in range(n % 40)) + rng.choice(["", ". ", "\n", "!? "]) for n in range(200)]
+    texts += ["".join(texts[9 + n : 14 + n]) for n in range(60)]
+    rows = docs(*enumerate(texts))
+    slow, fast = (
+        F.regexp_extract_all("text", F.lit(p), 0) for p in (spans.SENTENCE, spans.ASCII_SENTENCE)
+    )
+    assert rows.filter(~slow.eqNullSafe(fast)).count() == 0
+    got = rows.select("text", spans.sentences(F.col("text")).alias("s"))
+    assert all(r.s == brute_sentences(r.text) for r in got.collect())
+
+
 def test_sentence_spans_of_nothing(empty):
     assert spans.drop_repeated_spans(empty).collect() == []

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,9 +21,33 @@ MARKS = ".!?。！？．؟۔।"
 SENTENCE = rf"[^{MARKS}\n]+[{MARKS}\n]*[ \t\r\n]*|[{MARKS}\n]+[ \t\r\n]*"
 #: The same, found by looking for the marks: Java is slow at "none of these" with marks beyond Latin.
 SENTENCE_SCAN = rf"(?s).*?[{MARKS}\n]+[ \t\r\n]*|.+"
+#: The same for texts of ASCII characters.
+ASCII_SENTENCE = r"[^.!?\n]*+[.!?\n]++[ \t\r\n]*+|[^.!?\n]++"
 WORD = r"[ \t\r\n]*[^ \t\r\n]+[ \t\r\n]*|[ \t\r\n]+"
 
 
+def _ascii_part() -> str:
+    """A pattern for the parts of a sentence of ASCII characters, as :func:`_cut` has them.
+
+    A picked word starts with a letter of one of six classes and has the length that goes with it.
+    Nothing in it is tried twice.
+    """
+    blank, letter = r"[ \t\r\n]", r"[^ \t\r\n]"
+    picked = []
+    for c in range(6):
+        codes = [i for i in range(128) if ord(chr(i).lower()) % 6 == c and chr(i) not in " \t\r\n"]
+        first = "".join(f"\\x{i:02x}" for i in codes)
+        picked.append(f"[{first}]{letter}{{{5 - c}}}(?:{letter}{{6}})*+(?!{letter})")
+    ends = f"(?:{'|'.join(picked)})"
+    word = rf"{letter}++{blank}*+"
+    short = rf"\A{blank}*+(?:{word}){{1,{LONG_SENTENCE}}}+\z"
+    return rf"{short}|{blank}*+(?:(?:(?!{ends}){word})*+{ends}{blank}*+|(?:{word})++)|{blank}++"
+
+
+#: Short sentences as they are, long ones in parts, the characters being ASCII.
+ASCII_PART = _ascii_part()
+
+
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is worked out once."""
     return F.element_at(F.transform(F.array(value), body), 1)
@@ -62,8 +88,13 @@ def _cut(sentence: Column) -> Column:
         words,
         lambda w: F.when(F.size(w) <= LONG_SENTENCE, F.array(sentence)).otherwise(parts(w)),
     )
+    fast = F.regexp_extract_all(sentence, F.lit(ASCII_PART), 0)
     # so few characters cannot be more words than that
-    return F.when(F.char_length(sentence) <= 2 * LONG_SENTENCE, F.array(sentence)).otherwise(cut)
+    return (
+        F.when(F.char_length(sentence) <= 2 * LONG_SENTENCE, F.array(sentence))
+        .when(F.char_length(sentence) == F.octet_length(sentence), fast)
+        .otherwise(cut)
+    )
 
 
 def sentences(text: Column) -> Column:
@@ -71,13 +102,21 @@ def sentences(text: Column) -> Column:
 
     Null and empty texts have none.
     """
-    whole = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(SENTENCE_SCAN), 0)
+    text = F.coalesce(text, F.lit(""))
+    whole = F.when(
+        F.octet_length(text) == F.char_length(text),
+        F.regexp_extract_all(text, F.lit(ASCII_SENTENCE), 0),
+    ).otherwise(F.regexp_extract_all(text, F.lit(SENTENCE_SCAN), 0))
     return F.flatten(F.transform(whole, _cut))
 
 
 def sentence_key(sentence: Column) -> Column:
     """White space in single blanks, none at the ends; the case is the caller's."""
-    return F.btrim(F.regexp_replace(sentence, r"[ \t\r\n]{2,}|[\t\r\n]", " "))
+    def single(plain: Column) -> Column:
+        odd = reduce(or_, [plain.contains(s) for s in ("  ", "\n", "\t", "\r")])
+        return F.when(odd, F.regexp_replace(plain, r"[ \t\r\n]{2,}|[\t\r\n]", " ")).otherwise(plain)
+
+    return _let(F.btrim(sentence, F.lit(" \t\r\n")), single)
 
 
 def _spans(text: Column, size: int) -> Column:
@@ -102,7 +141,7 @@ def _spans(text: Column, size: int) -> Column:
             )
 
         places = F.sequence(F.lit(0), F.greatest(F.size(k) - size, F.lit(0)))
-        found = F.array_sort(F.when(F.size(k) > 0, F.transform(places, span)))
+        found = F.sort_array(F.when(F.size(k) > 0, F.transform(places, span)))
         return F.struct(found.alias("spans"), F.size(k).alias("n"))
 
     def flagged(found: Column) -> Column:
