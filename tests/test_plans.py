@@ -1,7 +1,10 @@
+import re
+from dataclasses import replace
 from datetime import date
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from tillstar.plans import cube, analyst, insights, measures, views
 from tillstar.plans.measures import SliceSpec
@@ -203,3 +206,38 @@ def test_whole_months_do_not_read_lines(many):
     assert "PartitionFilters: [isnotnull(year_month" in text and "year_month#" in text
     with pytest.raises(ValueError, match="unknown"):
         cube.sliced(many, by=["order_id"])
+
+
+def test_order_bitmaps_are_made_whole_and_without_lines(many, tmp_path):
+    plans = {}
+
+    def stage(df, name, by):
+        plans[name] = plan(df)
+        return cube.partitioned(df, str(tmp_path / name), by)
+
+    cube.build_cube(many.star, stage, one_task_rows=10)
+    assert "order_no" not in plans["sums"]  # sums need no numbers of orders
+    assert "order_id" not in plans["orders"] and "SortMergeJoin" not in plans["orders"]
+    # 45 orders, 10 to a task; a bitmap's orders meet before it is made, so no part of it moves
+    assert re.findall(r"Exchange hashpartitioning\((.*?)#.*?, (\d+)\)", plans["orders"]) == [("bucket", "5")]
+
+
+def test_an_order_of_most_lines_and_lines_without_order(star, tmp_path, monkeypatch):
+    monkeypatch.setattr(cube, "TASK_LINES", 7)
+    rows = [
+        (1 if i % 4 else i, "abc"[i % 3], f"2015-0{1 + i % 2}-{1 + i % 28:02d} {i % 24:02d}:00:00", 1 + i, 10)
+        for i in range(60)
+    ]
+    built = star(*rows)
+    fact = built.fact_order_items
+    lost = fact.withColumn("order_id", F.when(F.col("order_id") != 8, F.col("order_id")))
+    summary = cube.build_cube(
+        replace(built, fact_order_items=lost),
+        lambda df, name, by: cube.partitioned(df, str(tmp_path / name), by), one_task_rows=3,
+    )
+    kept = replace(built, fact_order_items=fact.filter("order_id != 8"))
+    for where in (SliceSpec(), SliceSpec(date_from="2015-01-03", date_to="2015-02-17")):
+        for by in ([], ["item_category", "day_part"]):
+            want = measures.sliced(kept, where, measures.MEASURES, by).collect()
+            got = cube.sliced(summary, where, measures.MEASURES, by).collect()
+            assert sorted(map(str, got)) == sorted(map(str, want))

@@ -10,6 +10,9 @@ import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, replace
 from datetime import date, timedelta
+from functools import reduce
+from math import ceil
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +26,10 @@ from tillstar.session import shared_dir
 AXES = ["year_month", "item_category", "item_size", "day_part"]
 
 
+#: Lines that one task puts to their orders.
+TASK_LINES = 1_000_000
+
+
 @dataclass(frozen=True)
 class Cube:
     """``sums`` has a row for each cell, ``orders`` one for each cell and 32,768 order numbers.
@@ -36,32 +43,72 @@ class Cube:
     orders: DataFrame
 
 
-def _cells(star: Star, where: SliceSpec, numbers: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Sums and order bitmaps of the lines of a slice, by all axes."""
-    lines = where.apply(enriched(star)).join(numbers, "order_id").select(
+def _lines(star: Star, where: SliceSpec) -> DataFrame:
+    """The lines of a slice that have an order."""
+    return where.apply(enriched(star)).filter("order_id IS NOT NULL")
+
+
+def _sums(lines: DataFrame) -> DataFrame:
+    """Sums of lines by all axes."""
+    return lines.select(
         *AXES, cents(F.col("total_price")).alias("cents"), F.col("quantity").alias("items"),
-        F.expr("shiftleft(1, day_of_month - 1)").alias("day"), "order_no",
-    )
-    sums = lines.groupBy(*AXES).agg(
+        F.expr("shiftleft(1, day_of_month - 1)").alias("day"),
+    ).groupBy(*AXES).agg(
         F.sum("cents").alias("cents"), F.sum("items").alias("items"), F.bit_or("day").alias("days")
     )
-    orders = lines.groupBy(*AXES, F.bitmap_bucket_number("order_no").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("order_no")).alias("bits")
+
+
+def _bitmaps(numbered: DataFrame, by: list[str]) -> DataFrame:
+    """Bitmaps of ``place`` in ``bucket``."""
+    return numbered.groupBy(*by, "bucket").agg(F.bitmap_construct_agg("place").alias("bits"))
+
+
+def _placed(numbers: DataFrame, *columns: str) -> DataFrame:
+    """``order_no`` as the number of its bitmap and its place there."""
+    return numbers.select(
+        *columns, F.bitmap_bucket_number("order_no").alias("bucket"),
+        F.bitmap_bit_position("order_no").alias("place"),
+    )
+
+
+def _order_cells(star: Star, cells: DataFrame) -> DataFrame:
+    """Every order with its first day and the numbers of its cells.
+
+    Lines are dealt by their own id first, so many at a task, and are put together there before
+    they go to their order: an order may have any part of all lines.
+    """
+    known = cells.select("cell", *[F.col(a).alias(f"{a}_of") for a in AXES])
+    same = reduce(and_, [F.col(a).eqNullSafe(F.col(f"{a}_of")) for a in AXES])
+    tasks = ceil(star.fact_order_items.count() / TASK_LINES) or 1
+    lines = _lines(star, SliceSpec()).join(known, same).select(
+        "order_item_id", "order_id", "date_key", "cell"
+    )
+    return lines.repartition(tasks, "order_item_id").groupBy("order_id").agg(
+        F.min("date_key").alias("day"), F.collect_set("cell").alias("cells")
     )
-    return sums, orders
 
 
 def build_cube(
     star: Star, stage: Callable[[DataFrame, str, list[str]], DataFrame],
     one_task_rows: int = ONE_TASK_ROWS,
 ) -> Cube:
-    """``stage(df, name, partition columns)`` writes a table and reads it back."""
-    days = star.fact_order_items.groupBy("order_id").agg(F.min("date_key").alias("day"))
-    numbers = number_rows(days, ["day", "order_id"], "order_no", limit=one_task_rows)
-    numbers = stage(numbers.select("order_id", "order_no"), "order_numbers", [])
-    sums, orders = _cells(star, SliceSpec(), numbers)
+    """``stage(df, name, partition columns)`` writes a table and reads it back.
+
+    Bitmaps are made of the orders as numbered, with no join, and dealt to tasks by whole bitmaps:
+    a task has about ``one_task_rows`` orders, and a bitmap is made once and not in parts.
+    """
+    sums = stage(_sums(_lines(star, SliceSpec())), "sums", ["year_month"])
+    cells = number_rows(sums.select(*AXES), AXES, "cell", limit=one_task_rows)
+    cells = stage(cells.withColumn("cell", F.col("cell").cast("int")), "cells", [])
+    by_order = stage(_order_cells(star, cells), "order_cells", [])
+    count = by_order.count()
+    numbers = number_rows(by_order, ["day", "order_id"], "order_no", count, one_task_rows)
+    numbers = stage(numbers.select("order_id", "order_no", "cells"), "order_numbers", [])
+    placed = _placed(numbers, "cells").repartition(ceil(count / one_task_rows) or 1, "bucket")
+    bits = _bitmaps(placed.withColumn("cell", F.explode("cells")), ["cell"])
+    orders = bits.join(cells, "cell").select(*AXES, "bucket", "bits")
     return Cube(
-        star, numbers, stage(sums, "sums", ["year_month"]), stage(orders, "orders", ["year_month"])
+        star, numbers.select("order_id", "order_no"), sums, stage(orders, "orders", ["year_month"])
     )
 
 
@@ -139,8 +186,10 @@ def sliced(
     whole, edges = _months(where)
     sums, orders = _whole_months(cube.sums, whole), _whole_months(cube.orders, whole)
     for edge in edges:
-        edge_sums, edge_orders = _cells(cube.star, edge, cube.numbers)
-        sums, orders = sums.unionByName(edge_sums), orders.unionByName(edge_orders)
+        lines = _lines(cube.star, edge)
+        sums = sums.unionByName(_sums(lines))
+        placed = _placed(lines.join(cube.numbers, "order_id"), *AXES)
+        orders = orders.unionByName(_bitmaps(placed, AXES))
     none = F.lit(None).cast("bigint")
     parts = [
         sums.select(*by, "cents", "items", none.alias("trading_days"), none.alias("orders")),
