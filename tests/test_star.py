@@ -1,3 +1,5 @@
+import os
+import time
 from datetime import date
 from decimal import Decimal
 
@@ -164,6 +166,25 @@ def test_missing_tables_are_named(spark, tmp_path):
         warehouse.current_run(spark, str(tmp_path))
 
 
+def test_a_written_table_leaves_no_shuffle_files(spark, tmp_path):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        names = [disk.getAllFiles().apply(i).getName() for i in range(disk.getAllFiles().size())]
+        return {n for n in names if n.startswith("shuffle_")}
+
+    before = shuffled()
+    table = warehouse.staged(spark.range(1000).repartition(5, "id"), str(tmp_path), "t")
+    for _ in range(100):  # they go in the background
+        if not shuffled() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffled() - before
+    assert table.count() == 1000
+    warehouse.discard(spark, f"{tmp_path}/t")
+    assert os.listdir(tmp_path) == []
+
+
 def test_csv_extracts(spark, star, tmp_path):
     s = star((1, "a", "2015-01-01 10:00:00", 1, 5))
     warehouse.export_csv({"vw_daily_sales": views.daily_sales(s)}, str(tmp_path), noun="dish")

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from tillstar.operators.quarantine import judge_lines, rejected_rows
 from tillstar.streaming import hourly, incremental, quarantine
 from tillstar.streaming.runs import Runs
-from tillstar.streaming.sources import Inbox, in_turn
+from tillstar.sources.warehouse import staged
+from tillstar.streaming.sources import Inbox, in_turn, one_batch_each
 
 
 def same(rows):
@@ -177,3 +178,37 @@ def test_stream_quarantine_is_a_batch_run_in_parts(spark, raw, tmp_path):
         map(tuple, rejected_rows(judged).select(columns).collect()))
     good = judged.filter("reject_reason IS NULL").select("item_id").collect()
     assert sorted(r.item_id for r in accepted.collect()) == sorted(r.item_id for r in good)
+
+
+def test_parts_make_micro_batches_of_their_own(spark, raw, tmp_path):
+    """A part with fewer rows than another has files is still one micro-batch, of both streams."""
+    content = {"order_id": 7, "order_time": "10:00:00"}
+    parts = [
+        raw({"item_id": 1}, {"item_id": 2, **content}, {"item_id": 1}).repartition(3),
+        raw({"item_id": 1}).coalesce(1),
+        raw({"item_id": 3, **content}, {"item_id": 4, "order_id": 4}).repartition(2),
+    ]
+    inbox = one_batch_each(parts, str(tmp_path / "in"), files=None)
+    target = str(tmp_path / "out")
+    quarantine.run_quarantine(inbox, target, str(tmp_path / "state"))
+    rejected, accepted = (spark.read.parquet(f"{target}/{n}").collect() for n in ("rejected", "accepted"))
+    assert sorted((r.item_id, r.reject_reason, r.batch) for r in rejected) == [
+        ("1", "duplicate item_id", 0), ("1", "duplicate item_id", 1),
+        ("3", "duplicate line item within order", 2)]
+    assert sorted((r.item_id, r.batch) for r in accepted) == [(1, 0), (2, 0), (4, 2)]
+    assert sorted(os.listdir(tmp_path)) == ["in", "out", "state"]
+    assert "scratch" not in os.listdir(target)
+
+
+def test_a_duplicate_rule_leaves_whole_lines_where_they_are(spark, raw, tmp_path):
+    """Only keys are shuffled: rows are read from where they were written, next to broadcast bitmaps."""
+    rows = [{"item_id": i % 5, "order_id": i} for i in range(20)]
+    typed = quarantine.parse_lines(raw(*rows)).withColumn("reject_reason", F.lit(None).cast("string"))
+    typed = staged(typed.withColumn("_place", F.monotonically_increasing_id()), str(tmp_path), "typed")
+    new = spark.range(4).select(F.col("id").alias("item_id"))
+    judged = quarantine._judged(typed, new, ["item_id"], ["_row"], "again", str(tmp_path))
+    plan = judged._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "BroadcastExchange" in plan
+    good = judged.filter("reject_reason IS NULL").select("_row").collect()
+    assert sorted(r[0] for r in good) == [0, 1, 2, 3]  # key 4 was seen before
+    assert judged.count() == 20
