@@ -192,6 +192,25 @@ def test_csv_extracts(spark, star, tmp_path):
     assert (got.revenue, got.dishs_sold) == ("5.00", "1")
 
 
+def test_extracts_are_compressed_unless_asked(spark, star, tmp_path):
+    s = star((1, "a", "2015-01-01 10:00:00", 1, 5))
+    view = {"vw_fact_enriched": views.fact_enriched(s)}
+    for compression, suffix in (({}, ".csv.gz"), ({"compression": "none"}, ".csv")):
+        folder = tmp_path / suffix[1:]
+        warehouse.export_csv(view, str(folder), **compression)
+        parts = [n for n in os.listdir(folder / "vw_fact_enriched") if n.startswith("part-")]
+        assert parts and all(n.endswith(suffix) for n in parts)
+        got = spark.read.option("header", True).csv(str(folder / "vw_fact_enriched")).collect()
+        assert [(r.order_item_id, r.full_date, r.total_price) for r in got] == [("1", "2015-01-01", "5.00")]
+
+
+def test_lines_meet_their_items_before_their_days(star):
+    s = star((1, "a", "2015-01-01 10:00:00", 1, 5))
+    plan = views.fact_enriched(s)._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert ["item_key" in j for j in joins] == [False, False, True]  # the first join is printed last
+
+
 # --- quality gate ----------------------------------------------------------------------------
 
 
