@@ -160,3 +160,28 @@ def test_written_or_not_rows_that_share_their_order_come_out_alike(spark, raw, t
     want = Counter((r._row, r.reject_reason) for r in quarantine.judge_lines(twice).collect())
     written = quarantine.judge_lines(twice, stage=lambda df, name: staged(df, str(tmp_path), name))
     assert Counter((r._row, r.reject_reason) for r in written.collect()) == want
+
+
+def test_every_bit_of_a_bitmap_is_found(spark):
+    """Rows of three buckets, one of which keeps nothing, by a number and a batch."""
+    rows = spark.range(70000).select(F.col("id").alias("n"), F.lit(3).alias("b"))
+    kept = rows.filter("n % 7 IN (0, 3) AND (n < 32768 OR n >= 65536)")
+    for within in ((), ("b",)):
+        bits = quarantine.bitmaps(kept, "n", within)
+        for small in (True, False):
+            got = quarantine.kept_by_bits(rows, bits, "n", small, within).filter("_kept")
+            assert got.exceptAll(kept.withColumn("_kept", F.lit(True))).count() == 0
+            assert got.count() == kept.count()
+
+
+def test_rows_known_to_be_unique_are_not_searched_for_shared_order(raw, tmp_path):
+    rows = raw(*[{"item_id": i % 4, "order_id": i % 3, "quantity": i % 5} for i in range(30)])
+    names = []
+
+    def stage(df, name):
+        names.append(name)
+        return staged(df, str(tmp_path), name)
+
+    judged = quarantine.judge_lines(rows, stage=stage, unique=True)
+    assert names == ["judged", "kept-0", "kept-1"]
+    assert reasons(judged) == reasons(quarantine.judge_lines(rows))

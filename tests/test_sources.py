@@ -69,3 +69,17 @@ def test_recipe_flags_read_the_lines_once(spark, retail):
         ("brand#1_7_s", 3, True), ("brand#2_8_xxl", 2, True),
         ("Hot", 1, False), ("Bolt", 1, False), ("Cheese", 1, True), ("Red", 1, False), ("Ring", 1, False),
     }
+
+
+def test_times_of_any_order_key(spark):
+    keys = [0, 5, 61, 1500, -77, -5]
+    day = datetime(1996, 3, 4)
+    rows = [(k, 7, 3, day, 4.0, 10.0, 0.0, 0.0, "N", "O", 2, k, day, "hot bolt", "Brand#1", "SMALL", 5) for k in keys]
+    dated = spark.createDataFrame(
+        rows, "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_shipdate timestamp_ntz, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+        "l_linenumber int, place bigint, o_orderdate timestamp_ntz, p_name string, p_brand string, p_type string, "
+        "p_size int")
+    times = {int(r.order_id): r.order_time for r in tables.as_text(dated).collect()}
+    assert times == {0: "00:00:00", 5: "05:05:00", 61: "13:01:00", 1500: "12:00:00", -77: "-5:-17:00",
+                     -5: "-5:-5:00"}

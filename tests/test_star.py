@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tillstar.operators import dimensions as dim
 from tillstar.operators import quality
 from tillstar.operators.facts import require_no_orphans
+from tillstar.operators.quarantine import SUMMARY, run_summary
 from tillstar.plans import views
 from tillstar.plans.star import build_star, register_views, star_from_csv, view
 from tillstar.schemas import TABLES
@@ -51,6 +52,14 @@ def test_rejected_rows_stay_with_the_star(spark, write_csv, tmp_path):
         quality.quality_report({k: v for k, v in loaded.items() if k != "rejected_rows"})
 
 
+def test_the_run_summary_is_counted_while_tables_are_written(spark, write_csv, tmp_path):
+    path = write_csv(tmp_path / "raw.csv", [*ROWS, ROWS[0], {"item_id": "x"}, {"item_id": 9, "quantity": 0}])
+    star = star_from_csv(spark, path, str(tmp_path / "star"))
+    assert star.summary.collect() == run_summary(star.judged).collect() == [(7, 3, 4, 1)]
+    assert star.summary.columns == SUMMARY
+    assert "shared-order" not in os.listdir(tmp_path / "star")  # rows of files have a place of their own
+
+
 @pytest.fixture
 def dish_star(spark, write_csv, tmp_path):
     path = write_csv(tmp_path / "raw.csv", ROWS, noun="dish")
